@@ -7,6 +7,9 @@ the outline and whose further rings are holes.
 
 from __future__ import annotations
 
+import struct
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -116,10 +119,6 @@ def wkb_point(hex_col: Column) -> Column:
     Both byte orders and the extended form with a reference-system number are
     read; other geometries and broken text give null.
     """
-    import struct
-
-    import pandas as pd
-
     @F.pandas_udf("struct<lon: double, lat: double>")
     def decode(texts: pd.Series) -> pd.DataFrame:
         def one(text):

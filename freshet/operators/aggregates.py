@@ -245,8 +245,8 @@ def run_metrics(before: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """One row with the number of existing, new and already known rows of a run."""
     known = before.select(key).distinct().withColumn("_known", F.lit(True))
     counts = incoming.join(known, key, "left").agg(
-        F.count_if("_known is null").alias("new_rows"),
-        F.count_if("_known is not null").alias("known_rows"),
+        F.count_if(F.col("_known").isNull()).alias("new_rows"),
+        F.count_if(F.col("_known").isNotNull()).alias("known_rows"),
     )
     existing = before.select(F.count(F.lit(1))).scalar()
     return counts.select(existing.alias("existing_rows"), "new_rows", "known_rows")

@@ -42,7 +42,7 @@ def explode_members(df: DataFrame, list_col: str, name: str) -> DataFrame:
 
 def split_cell(df: DataFrame, cols: Sequence[str], sep: str = ";") -> DataFrame:
     """Parallel lists in text cells, such as ids and units, as one row per position."""
-    lists = [F.transform(F.split(c, rf"\Q{sep}\E"), F.trim).alias(c) for c in cols]
+    lists = [F.transform(F.split(c, rf"\Q{sep}\E"), lambda x: F.trim(x)).alias(c) for c in cols]
     kept = [c for c in df.columns if c not in cols]
     zipped = df.select(*kept, F.arrays_zip(*lists).alias("_z"))
     return zipped.select(*kept, F.posexplode("_z").alias("position", "_m")).select(
