@@ -1 +1,17 @@
 """Queries that exercise the operators on the test tables."""
+
+from . import (  # noqa: F401
+    aggregation,
+    calendar_gaps,
+    cleaning,
+    expressions,
+    files,
+    gridded,
+    incremental,
+    joining,
+    keeping,
+    moving,
+    reshaping,
+    targets,
+)
+from .registry import QUERIES, SQL  # noqa: F401

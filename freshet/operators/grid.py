@@ -25,13 +25,13 @@ UNIT_FACTORS = {"NO2": 1e9, "O3": 1e9, "PM25_RH35_GCC": 1.0}
 METRICS = {"NO2": "daily_avg", "O3": "daily_max", "PM25_RH35_GCC": "daily_avg"}
 
 
-def _mean_of_all(value: str, n_files: int | None) -> Column:
+def _mean_of_all(value: str, n_files: int | Column | None) -> Column:
     """Sum over the number of files; null if a file has no value for the cell."""
     n = F.count(F.lit(1)) if n_files is None else F.lit(n_files)
     return F.when(F.count(value) == n, F.sum(value).cast("double") / n)
 
 
-def cell_mean(df: DataFrame, keys: Sequence[str], value: str, factor: float = 1.0, n_files: int | None = None) -> DataFrame:
+def cell_mean(df: DataFrame, keys: Sequence[str], value: str, factor: float = 1.0, n_files: int | Column | None = None) -> DataFrame:
     return df.groupBy(*keys).agg((_mean_of_all(value, n_files) * factor).alias(value))
 
 

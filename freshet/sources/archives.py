@@ -13,14 +13,13 @@ from pyspark.sql import functions as F
 MEMBERS = "archive string, member string, content binary"
 
 
-def expand_archives(
-    spark: SparkSession,
-    path: str,
+def expand_members(
+    files: DataFrame,
     suffix: str | None = None,
     tags: Sequence[str] | None = None,
     nested: bool = True,
 ) -> DataFrame:
-    """Members of the zip files at ``path`` whose name fits; zips inside zips are opened too."""
+    """Members of the zip files in ``content`` whose name fits; zips inside zips are opened too."""
 
     def wanted(name: str) -> bool:
         return (suffix is None or name.endswith(suffix)) and (
@@ -46,13 +45,36 @@ def expand_archives(
                         {"archive": [archive], "member": [name], "content": [content]}
                     )
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(expand, MEMBERS)
+    return files.select("path", "content").mapInPandas(expand, MEMBERS)
+
+
+def expand_archives(spark: SparkSession, path: str, **choice) -> DataFrame:
+    """:func:`expand_members` of the zip files at ``path``."""
+    return expand_members(spark.read.format("binaryFile").load(path), **choice)
+
+
+def pack_texts(df: DataFrame, path: str, text: str, nested: bool = False) -> DataFrame:
+    """Each text as the member ``text.txt`` of an archive of its own."""
+
+    def pack(name: str, content: bytes) -> bytes:
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr(name, content)
+        return buffer.getvalue()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            packed = [pack("text.txt", t.encode()) for t in batch[text]]
+            if nested:
+                packed = [pack("inner.zip", p) for p in packed]
+            yield pd.DataFrame({"path": batch[path], "content": packed})
+
+    return df.select(path, text).mapInPandas(run, "path string, content binary")
 
 
 def member_lines(members: DataFrame) -> DataFrame:
     """Text lines of archive members with their position."""
-    text = F.decode("content", F.lit("UTF-8"))
+    text = F.decode("content", "UTF-8")
     return members.select(
         "archive", "member", F.posexplode(F.split(text, r"\r?\n")).alias("line_no", "value")
     ).filter(F.col("value") != "")

@@ -10,11 +10,13 @@ from ..functions.geometry import POINT
 
 
 def read_json_records(
-    spark: SparkSession, path: str, schema: T.StructType | str, records_path: str = "data"
+    spark: SparkSession, path: str, schema: T.StructType | str, records_path: str = "data",
+    multi_line: bool = True,
 ) -> DataFrame:
     """One row per element of the array at ``records_path``.
 
-    ``schema`` describes one record.  ``records_path`` may be dotted.
+    ``schema`` describes one record.  ``records_path`` may be dotted.  With
+    ``multi_line=False`` each line is a document and files are split.
     """
     record = schema if isinstance(schema, str) else schema.simpleString()
     record = record if record.startswith("struct<") else f"struct<{record}>"
@@ -22,18 +24,19 @@ def read_json_records(
     ddl = f"array<{record}>"
     for name in reversed(parts[1:]):
         ddl = f"struct<{name}: {ddl}>"
-    df = spark.read.schema(f"{parts[0]} {ddl}").option("multiLine", True).json(path)
+    df = spark.read.schema(f"{parts[0]} {ddl}").option("multiLine", multi_line).json(path)
     return df.select(F.explode(records_path).alias("record")).select("record.*")
 
 
 def read_geojson(
-    spark: SparkSession, path: str, prop_schema: str, geometry_schema: str = POINT
+    spark: SparkSession, path: str, prop_schema: str, geometry_schema: str = POINT,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Features of collections: properties, ``geometry``, file and position in the file."""
     feature = f"struct<geometry: {geometry_schema}, properties: struct<{prop_schema}>>"
     df = (
         spark.read.schema(f"features array<{feature}>")
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .json(path)
         .select("features", F.col("_metadata.file_name").alias("file"))
     )

@@ -13,45 +13,47 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 PAGE_NUMBER = r"(\d+)\.json$"
 
 
-class Page(InputPartition):
-    def __init__(self, number: int, uri: str):
-        self.number = number
-        self.uri = uri
+class Pages(InputPartition):
+    def __init__(self, pages: list[tuple[int, str]]):
+        self.pages = pages
 
 
 class PagedJsonReader(DataSourceReader):
-    """One task per page file; an empty page gives one row without a record."""
+    """Some page files per task; an empty page gives one row without a record."""
 
     def __init__(self, options):
         self.path = options["path"]
         self.records_path = options.get("records_path", "")
+        self.pattern = options.get("page_pattern", PAGE_NUMBER)
         self.first = int(options.get("min_page", 0))
-        self.last = int(options["max_page"]) if "max_page" in options else None
+        self.last = int(options.get("max_page", 2**31 - 1))
+        self.per_task = int(options.get("pages_per_task", 16))
 
     def partitions(self):
         from pyarrow import fs
 
         system, root = fs.FileSystem.from_uri(self.path)
         pages = []
-        for info in system.get_file_info(fs.FileSelector(root)):
-            match = re.search(PAGE_NUMBER, info.path)
-            if match and self.first <= int(match[1]) and (self.last is None or int(match[1]) <= self.last):
-                pages.append(Page(int(match[1]), info.path))
-        return sorted(pages, key=lambda page: page.number)
+        for info in system.get_file_info(fs.FileSelector(root, recursive=True)):
+            match = re.search(self.pattern, info.path)
+            if match and self.first <= int(match[1]) <= self.last:
+                pages.append((int(match[1]), info.path))
+        pages.sort()
+        return [Pages(pages[i : i + self.per_task]) for i in range(0, len(pages), self.per_task)]
 
     def read(self, partition):
         from pyarrow import fs
 
         system, _ = fs.FileSystem.from_uri(self.path)
-        with system.open_input_stream(partition.uri) as stream:
-            records = json.loads(stream.read())
-        for name in filter(None, self.records_path.split(".")):
-            records = records[int(name)] if name.isdigit() else records.get(name)
-        if not records:
-            yield (partition.number, None, None)
-            return
-        for position, record in enumerate(records):
-            yield (partition.number, position, json.dumps(record))
+        for number, path in partition.pages:
+            with system.open_input_stream(path) as stream:
+                records = json.loads(stream.read())
+            for name in filter(None, self.records_path.split(".")):
+                records = records[int(name)] if name.isdigit() else records.get(name)
+            if not records:
+                yield (number, None, None)
+            for position, record in enumerate(records or []):
+                yield (number, position, json.dumps(record))
 
 
 class PagedJson(DataSource):
@@ -85,11 +87,12 @@ def read_pages(
     min_page: int = 0,
     max_page: int | None = None,
     stop_at_empty: bool = True,
+    page_pattern: str = PAGE_NUMBER,
 ) -> DataFrame:
     """Typed records of the pages from ``min_page`` to ``max_page`` or the first empty page."""
     spark.dataSource.register(PagedJson)
     reader = spark.read.format("paged_json").option("records_path", records_path)
-    reader = reader.option("min_page", min_page)
+    reader = reader.option("min_page", min_page).option("page_pattern", page_pattern)
     if max_page is not None:
         reader = reader.option("max_page", max_page)
     pages = reader.load(path)

@@ -58,12 +58,17 @@ def ingest_files(
     run_available(stream, out, checkpoint)
 
 
+def _event_time(stream: DataFrame, ts: str) -> DataFrame:
+    """Watermarks need an instant; times without zone are read in the session's zone, UTC."""
+    return stream.withColumn(ts, F.col(ts).cast("timestamp"))
+
+
 def unseen(stream: DataFrame, ts: str, key: str | Sequence[str], delay: str, target: DataFrame | None = None) -> DataFrame:
     """First row of each key within the watermark, without keys the target holds."""
     keys = [key] if isinstance(key, str) else list(key)
     if target is not None:
         stream = stream.join(target.select(*keys), keys, "left_anti")
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
+    return _event_time(stream, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
 def not_late(stream: DataFrame, marks: DataFrame, by: str, ts: str) -> DataFrame:
@@ -80,7 +85,7 @@ def window_agg(
     A window is given out once the watermark has passed its end.
     """
     window = F.window(ts, length, slide or length, start)
-    out = stream.withWatermark(ts, delay).groupBy(window, *keys).agg(*aggregates)
+    out = _event_time(stream, ts).withWatermark(ts, delay).groupBy(window, *keys).agg(*aggregates)
     kept = [c for c in out.columns if c != "window"]
     return out.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *kept)
 
