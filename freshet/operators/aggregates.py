@@ -18,7 +18,7 @@ ALERT_SEPARATOR = ";\n"
 
 
 def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(keys))
+    return df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
 
 
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:

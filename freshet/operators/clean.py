@@ -137,7 +137,7 @@ def coercion_losses(df: DataFrame, cols: Sequence[str], to: str = "double") -> D
 
 
 def require(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(cols))
+    return df.filter(reduce(lambda a, b: a & b, [_name(c).isNotNull() for c in cols]))
 
 
 def valid_date(df: DataFrame, col: str, fmt: str) -> DataFrame:
