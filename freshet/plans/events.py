@@ -31,10 +31,10 @@ def earthquakes(features: DataFrame, target: DataFrame, now, history: bool = Fal
         }
     )
     rows = rows.withColumn("uid", keys.uid(lat, lon, depth, F.date_format("datetime", KEY_TIME)))
-    rows = clean.conform(rows.withColumn("_file", F.col("file")).withColumn("_pos", F.col("position")), schema("earthquakes"))
+    rows = clean.conform(rows, schema("earthquakes"))
     if history:
-        return insert_if_new(rows, target, "uid", ["datetime"])
-    return backfill_slices(rows, target, "datetime", "uid", ["datetime"], EARTHQUAKE_SLICE_DAYS, now).drop("slice")
+        return insert_if_new(rows, target, "uid", ["datetime", "place"])
+    return backfill_slices(rows, target, "datetime", "uid", ["datetime", "place"], EARTHQUAKE_SLICE_DAYS, now).drop("slice")
 
 
 def retained(rows: DataFrame, ts: str, cutoff, n: int, tie: str) -> DataFrame:

@@ -35,12 +35,12 @@ DECLARED = {
 
 # Column type of each served type name.
 SERVED_TYPES = {
-    "text": T.StringType(),
-    "varchar": T.StringType(),
-    "numeric": T.DoubleType(),
-    "int": T.LongType(),
-    "timestamp": T.TimestampNTZType(),
-    "geometry": T.StructType.fromDDL(f"g {POINT}")["g"].dataType,
+    "text": "string",
+    "varchar": "string",
+    "numeric": "double",
+    "int": "bigint",
+    "timestamp": "timestamp_ntz",
+    "geometry": POINT,
 }
 
 
@@ -58,4 +58,4 @@ def indicator_schema(n: int) -> T.StructType:
 
 def from_served(columns: dict[str, str]) -> T.StructType:
     """Schema of ordered ``column: served type`` pairs."""
-    return T.StructType([T.StructField(name, SERVED_TYPES[kind]) for name, kind in columns.items()])
+    return T.StructType.fromDDL(", ".join(f"`{c}` {SERVED_TYPES[t]}" for c, t in columns.items()))
