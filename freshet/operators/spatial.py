@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -82,20 +82,18 @@ def simplify(df: DataFrame, rings: str, tolerance: float) -> DataFrame:
     equal.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch[rings] = [
-                None
-                if shape is None
-                else [
-                    _simplify_line(np.array([list(p) for p in ring], dtype=float), tolerance).tolist()
-                    for ring in shape
-                ]
-                for shape in batch[rings]
+            place = batch.schema.get_field_index(rings)
+            field = batch.schema.field(place)
+            thin = [
+                shape
+                and [_simplify_line(np.array(ring, dtype=float), tolerance).tolist() for ring in shape]
+                for shape in batch.column(place).to_pylist()
             ]
-            yield batch
+            yield batch.set_column(place, field, pa.array(thin, field.type))
 
-    return df.mapInPandas(run, df.schema)
+    return df.mapInArrow(run, df.schema)
 
 
 def count_in_areas(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
