@@ -13,12 +13,10 @@ from ..runtime import durable
 def route(df: DataFrame, by: str, path: str, mode: str = "append") -> None:
     """One folder per parameter in a single pass.
 
-    Rows are spread by parameter and a hash of the row, so that a frequent
-    parameter is written by many tasks.
+    Rows are gathered by parameter; the adaptive planner splits a frequent
+    parameter over many tasks and puts rare ones together.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(n))
-    df.repartition(F.col(by), spread).write.mode(mode).partitionBy(by).parquet(path)
+    df.hint("rebalance", F.col(by)).write.mode(mode).partitionBy(by).parquet(path)
 
 
 def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:

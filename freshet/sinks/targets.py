@@ -142,7 +142,8 @@ class Target:
 
 def upsert_rows(target: DataFrame, df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key is not in ``df``, and the rows of ``df``."""
-    return target.join(df.select(*keys), list(keys), "left_anti").select(*df.columns).unionByName(df)
+    kept = target.join(df.select(*keys), list(keys), "left_anti")
+    return kept.unionByName(df, allowMissingColumns=True)
 
 
 def patch_rows(target: DataFrame, df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
