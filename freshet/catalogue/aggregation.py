@@ -17,7 +17,6 @@ from ..operators.aggregates import (
     mean_first,
     most_recent,
     most_recent_ymd,
-    numbered_concat,
     pivot_counts,
     run_metrics,
     share_of_total,
@@ -64,11 +63,8 @@ def numbered_alerts(spark, sf_dir):
         "alps": F.lower(classify(F.col("pewi"))),
         "date": day_text("ts"),
     }
-    text = numbered_concat(latest, ["user_id"], ["event_type"], pieces)
-    levels = summarize_alerts(latest, ["user_id"], F.col("pewi"), "ts")
-    return text.join(levels, "user_id").withColumn(
-        "oldest_interaction_date", day_text("oldest_interaction_date")
-    )
+    out = summarize_alerts(latest, ["user_id"], F.col("pewi"), "ts", ["event_type"], pieces)
+    return out.withColumn("oldest_interaction_date", day_text("oldest_interaction_date"))
 
 
 @query("""
@@ -157,11 +153,14 @@ def distinct_rows(spark, sf_dir):
 
 
 @query("""
-SELECT text, min(doc_id) AS doc_id FROM documents GROUP BY text
+SELECT md5(text) AS digest, min(doc_id) AS doc_id FROM documents GROUP BY text
 """)
 def first_unseen_text(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return first_occurrence(documents, "text", ["doc_id"]).select("text", "doc_id")
+    """Texts are compared by digest, so only digests are shuffled."""
+    digests = table(spark, sf_dir, "documents").select(
+        "doc_id", F.sha2("text", 256).alias("key"), F.md5("text").alias("digest")
+    )
+    return first_occurrence(digests, "key", ["doc_id"]).select("digest", "doc_id")
 
 
 @query("""

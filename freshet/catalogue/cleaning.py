@@ -61,22 +61,25 @@ def json_bad_lines(spark, sf_dir):
 
 
 @query("""
-SELECT conv_id, first(rtrim(text) ORDER BY turn) AS opening, string_agg(role, ', ' ORDER BY turn) AS roles,
-       max(CASE WHEN turn = 1 THEN role END) AS second_role
-FROM conversations GROUP BY 1
+SELECT p_partkey, split_part(p_name, ' ', 1) AS opening, replace(p_name, ' ', ', ') AS words,
+       CASE WHEN p_size > 25 THEN split_part(p_name, ' ', 2) END AS second, p_brand AS brand
+FROM part
 """)
 def nested_paths(spark, sf_dir):
-    turns = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
-    nested = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(turns.alias("turns"))
-    second = F.filter("turns", lambda t: t["turn"] == 1)
-    nested = nested.withColumn("doc", F.struct("turns", second.alias("second")))
+    """Names as nested documents; the second branch is missing for small parts."""
+    words = F.transform(F.split("p_name", " "), lambda w: F.struct(F.concat(w, F.lit("  ")).alias("text"), w.alias("plain")))
+    branch = F.when(F.col("p_size") > 25, F.struct(F.struct(F.element_at(words, 2).alias("word")).alias("inner")))
+    docs = table(spark, sf_dir, "part").select(
+        "p_partkey", F.struct(words.alias("words"), branch.alias("branch"), F.struct("p_brand").alias("origin")).alias("doc")
+    )
     return extract_paths(
-        nested,
+        docs,
         {
-            "conv_id": ["conv_id"],
-            "opening": ["doc", "turns", 0, "text"],
-            "roles": ["doc", "turns", "*", "role"],
-            "second_role": ["doc", "second", 0, "role"],
+            "p_partkey": ["p_partkey"],
+            "opening": ["doc", "words", 0, "text"],
+            "words": ["doc", "words", "*", "plain"],
+            "second": ["doc", "branch", "inner", "word", "text"],
+            "brand": ["doc", "origin", "p_brand"],
         },
     )
 

@@ -62,9 +62,9 @@ def numbered_text_lines(spark, sf_dir):
 SELECT o_custkey, count(*) AS n, max(o_orderkey) AS newest FROM orders GROUP BY 1
 """)
 def json_records(spark, sf_dir):
-    """A document per customer and year with its orders under ``data``."""
+    """A document per 50 order numbers with the orders under ``data``."""
     record = F.struct(F.col("o_orderkey").alias("id"), F.struct("o_custkey").alias("fields"))
-    docs = table(spark, sf_dir, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("y")).agg(
+    docs = table(spark, sf_dir, "orders").groupBy(F.floor(F.col("o_orderkey") / 50).alias("k")).agg(
         F.collect_list(record).alias("data")
     )
     path = shared_dir(spark, "json")
@@ -77,22 +77,22 @@ def json_records(spark, sf_dir):
 
 @query("""
 SELECT user_id, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, CAST(max(n) AS INTEGER) AS last_position FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id, date_trunc('day', ts) ORDER BY event_id) - 1 AS n FROM events)
+  SELECT *, row_number() OVER (PARTITION BY event_id // 50 ORDER BY event_id) - 1 AS n FROM events)
 GROUP BY 1
 """)
 def geojson_features(spark, sf_dir):
-    """A collection per user and day."""
+    """A collection per 50 event numbers."""
     lon, lat = F.col("user_id").cast("double"), F.col("value")
     feature = F.struct(
         F.col("event_id"),
         F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates")).alias("geometry"),
         F.struct("event_id", "user_id").alias("properties"),
     )
-    days = table(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("d")).agg(
+    collections = table(spark, sf_dir, "events").groupBy(F.floor(F.col("event_id") / 50).alias("k")).agg(
         F.sort_array(F.collect_list(feature)).alias("features")
     )
     path = shared_dir(spark, "geojson")
-    days.select("features").write.json(path)
+    collections.select("features").write.json(path)
     rows = documents.read_geojson(spark, path, "event_id bigint, user_id bigint", multi_line=False)
     same = rows.filter(F.get("geometry.coordinates", F.lit(0)) == F.col("user_id"))
     return same.groupBy("user_id").agg(

@@ -6,7 +6,7 @@ from ..functions.units import exact_sum, fixed
 from ..operators import monitor
 from ..operators.windows import latest_per
 from ..sinks.targets import Target, upsert_rows
-from ..runtime import shared_dir
+from ..runtime import durable, shared_dir
 from ..streaming import incremental as inc
 from ..streaming import streams
 from .registry import day_text, query, table, time_text
@@ -85,11 +85,10 @@ def backfill_in_slices(spark, sf_dir):
 
 def _customer_summary(orders):
     """Orders and newest status of each customer."""
-    newest = latest_per(orders.select("o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus"), ["o_custkey"], "o_orderdate", "o_orderkey")
-    totals = orders.groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("n"), exact_sum("o_totalprice").alias("total"), F.min("o_orderdate").alias("oldest")
+    return orders.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n"), exact_sum("o_totalprice").alias("total"), F.min("o_orderdate").alias("oldest"),
+        F.max_by("o_orderstatus", F.struct("o_orderdate", "o_orderkey")).alias("o_orderstatus"),
     )
-    return totals.join(newest.select("o_custkey", "o_orderstatus"), "o_custkey")
 
 
 @query("""
@@ -182,6 +181,7 @@ def layer_rollout(spark, sf_dir):
     years = table(spark, sf_dir, "orders").select(
         F.col("o_orderpriority").alias("dataset"), F.year("o_orderdate").alias("year")
     ).distinct()
+    years = durable(years, "years")
     catalog = years.filter("year <= 1999").withColumn(
         "title", F.concat(F.col("year").cast("string"), F.lit(" totals"))
     ).withColumn("kind", F.lit("orders"))

@@ -81,10 +81,15 @@ def bounds(geom: Column) -> dict[str, Column]:
     }
 
 
-def covers(geom: Column, x: Column, y: Column) -> Column:
-    """Whether a polygon holds a point; its boundary counts as inside.
+def edges(geom: Column) -> Column:
+    """All edges of a polygon's rings."""
+    return F.flatten(F.transform(geom["coordinates"], _edges))
+
+
+def edges_cover(lines: Column, x: Column, y: Column) -> Column:
+    """Whether the polygon of these edges holds a point; its boundary counts as inside.
 
-    Even-odd rule over the edges of all rings, so that holes are outside.
+    Even-odd rule, so that holes are outside.
     """
 
     def on_edge(e: Column) -> Column:
@@ -95,14 +100,17 @@ def covers(geom: Column, x: Column, y: Column) -> Column:
             & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
         )
 
-    def crossing(e: Column) -> Column:
+    def crosses(e: Column) -> Column:
         spans = (e["y1"] > y) != (e["y2"] > y)
         at = e["x1"] + (y - e["y1"]) * (e["x2"] - e["x1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0))
         return spans & (x < at)
 
-    edges = F.flatten(F.transform(geom["coordinates"], _edges))
-    odd = F.aggregate(edges, F.lit(False), lambda acc, e: acc != F.coalesce(crossing(e), F.lit(False)))
-    return F.exists(edges, on_edge) | odd
+    odd = F.size(F.filter(lines, lambda e: F.coalesce(crosses(e), F.lit(False)))) % 2 == 1
+    return odd | F.exists(lines, on_edge)
+
+
+def covers(geom: Column, x: Column, y: Column) -> Column:
+    return edges_cover(edges(geom), x, y)
 
 
 def from_geojson(col: Column, schema: str = POINT) -> Column:

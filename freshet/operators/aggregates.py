@@ -135,12 +135,15 @@ def aggregate_roles(df: DataFrame, roles: Sequence[str], year: str, month: str,
 def numbered_concat(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: Mapping[str, Column],
     template: str = ALERT_TEXT, sep: str = ALERT_SEPARATOR, name: str = "text",
+    also: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Numbered lines of a group joined into one text.
 
     ``template`` holds ``{num}`` and the names of ``pieces``.  The group is to
     be small already, such as the latest row per commodity of a market.
+    ``also`` adds aggregates of the same groups.
     """
+    also = also or {}
     item = F.struct(*order, *[c.cast("string").alias(f"_{n}") for n, c in pieces.items()])
     items = F.sort_array(F.collect_list(item))
 
@@ -151,8 +154,9 @@ def numbered_concat(
         return text
 
     return (
-        with_keys(df, keys).groupBy(*keys).agg(items.alias("_items"))
-        .select(*keys, F.array_join(F.transform("_items", line), sep).alias(name))
+        with_keys(df, keys).groupBy(*keys)
+        .agg(items.alias("_items"), *[c.alias(n) for n, c in also.items()])
+        .select(*keys, F.array_join(F.transform("_items", line), sep).alias(name), *also)
     )
 
 
@@ -170,11 +174,16 @@ def concat_by(
     )
 
 
-def summarize_alerts(df: DataFrame, keys: Sequence[str], level: Column, date: str) -> DataFrame:
-    """Highest level of a group, its class, and the oldest date."""
-    out = with_keys(df, keys).groupBy(*keys).agg(
-        F.max(level).alias("highest_pewi"), F.min(date).alias("oldest_interaction_date")
-    )
+def summarize_alerts(
+    df: DataFrame, keys: Sequence[str], level: Column, date: str, order: Sequence[str],
+    pieces: Mapping[str, Column], name: str = "text",
+) -> DataFrame:
+    """Numbered text of a group, its highest level with its class, and the oldest date.
+
+    All come from one aggregation.
+    """
+    worst = {"highest_pewi": F.max(level), "oldest_interaction_date": F.min(date)}
+    out = numbered_concat(df, keys, order, pieces, name=name, also=worst)
     return out.withColumn("highest_alps", classify(F.col("highest_pewi")))
 
 

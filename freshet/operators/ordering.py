@@ -30,11 +30,9 @@ def distributed_row_number(
     so that counts and rows come from the same slices.  ``order_by`` should end
     with a unique column.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) if isinstance(c, str) else c for c in (*partition_by, *order_by)]
     placed = (
-        df.repartitionByRange(n, *keys)
+        df.repartitionByRange(*([partitions] if partitions else []), *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_place", F.monotonically_increasing_id())
     )

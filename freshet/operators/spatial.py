@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import bounds, covers
+from ..functions.geometry import bounds, edges, edges_cover
 
 
 def points_in_polygons(
@@ -29,8 +29,8 @@ def points_in_polygons(
     copied to each, so that a tile with a large share of all points is not one
     task.  A point lies in one tile, so no pair is found twice.
     """
-    edge = bounds(F.col(geometry))
-    tiled = polygons.withColumns({f"_{k}": v for k, v in edge.items()})
+    limits = {f"_{k}": v for k, v in bounds(F.col(geometry)).items()}
+    tiled = polygons.withColumns({**limits, "_edges": edges(F.col(geometry))}).drop(geometry)
     for name, low, high in (("_tx", "_west", "_east"), ("_ty", "_south", "_north")):
         tiled = tiled.withColumn(
             name, F.explode(F.sequence(F.floor(F.col(low) / tile), F.floor(F.col(high) / tile)))
@@ -46,7 +46,7 @@ def points_in_polygons(
     inside = (
         F.col(x).between(F.col("_west"), F.col("_east"))
         & F.col(y).between(F.col("_south"), F.col("_north"))
-        & covers(F.col(geometry), F.col(x), F.col(y))
+        & edges_cover(F.col("_edges"), F.col(x), F.col(y))
     )
     joined = placed.join(tiled, ["_tx", "_ty", "_salt"]).filter(inside)
     added = [c for c in polygons.columns if c != geometry]

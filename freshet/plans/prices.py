@@ -63,9 +63,9 @@ def summarize(rows: DataFrame, now) -> DataFrame:
         "date": F.date_format("date", "yyyy-MM-dd"),
     }
     group = [*MARKET, "category"]
-    texts = aggregates.numbered_concat(latest, group, ["cmname"], pieces, name="market_interaction")
-    levels = aggregates.summarize_alerts(latest, group, F.col("pewi"), "date")
-    out = texts.join(levels, group)
+    out = aggregates.summarize_alerts(
+        latest, group, F.col("pewi"), "date", ["cmname"], pieces, "market_interaction"
+    )
     out = out.withColumn("uid", keys.uid_md5(*group))
     named = clean.rename(out, {"adm1id": "region_id", "mktid": "market_id", "mktname": "market_name"})
     return clean.conform(named, schema("price_summaries"))

@@ -62,11 +62,11 @@ def split_whitespace(
     for prefix in (comment, header_prefix):
         if prefix:
             lines = lines.filter(~F.col(col).startswith(prefix))
-    fields = F.split(F.trim(F.regexp_replace(col, r"\s+", " ")), " ")
+    fields = F.regexp_extract_all(col, F.lit(r"(\S+)"), F.lit(1))
     kept = [c for c in lines.columns if c != col]
     return (
         lines.withColumn("_fields", fields)
-        .filter((F.size("_fields") == len(names)) & (F.trim(F.col(col)) != ""))
+        .filter(F.size("_fields") == len(names))
         .select(*kept, *[F.col("_fields")[i].alias(n) for i, n in enumerate(names)])
     )
 
