@@ -247,7 +247,7 @@ def most_recent_of_parts(spark, sf_dir):
 
 @query("""
 SELECT year, n_rows FROM (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_rows FROM orders GROUP BY 1)
-WHERE n_rows >= 1500 OR year > 2001 - 3
+WHERE n_rows >= 1500 OR year >= 2001 - 3
 """)
 def years_with_enough_rows(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))

@@ -59,7 +59,7 @@ def keep_dates_per_collection(spark, sf_dir):
 @query("""
 WITH v AS (SELECT *, strftime(o_orderdate, '%Y%m') AS v FROM orders)
 SELECT o_orderkey, v AS version FROM v WHERE v IN ('199501', '199712')
-OR v IN (SELECT DISTINCT v FROM v WHERE v NOT IN ('199501', '199712') ORDER BY v DESC LIMIT 2)
+OR v IN (SELECT DISTINCT v FROM v ORDER BY v DESC LIMIT 2)
 """)
 def keep_versions_with_exempt(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(

@@ -6,7 +6,7 @@ from ..operators.retention import keep_newest, keep_versions
 from ..runtime import shared_dir
 from ..sinks import outputs
 from ..sinks.targets import Target, duplicates, patch_rows, upsert_rows
-from .registry import day_text, query, table
+from .registry import query, table
 
 SPLIT = "2000-01-01"
 
@@ -75,6 +75,18 @@ def patched_rows(spark, sf_dir):
     return patch_rows(supplier, with_gaps, "s_suppkey", ["s_acctbal"])
 
 
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey IN (SELECT o_orderkey FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 20)
+  THEN 'ended' ELSE o_orderstatus END AS status FROM orders
+""")
+def last_records_refreshed(spark, sf_dir):
+    """Only the last 20 records of the source change stored ones."""
+    orders = _orders(spark, sf_dir)
+    source = orders.withColumn("o_orderstatus", F.lit("ended"))
+    out = patch_rows(orders, source, "o_orderkey", ["o_orderstatus"], 20, "o_orderdate")
+    return out.select("o_orderkey", F.col("o_orderstatus").alias("status"))
+
+
 @query("""
 SELECT p_partkey, p_brand, CASE WHEN p_partkey % 4 = 0 THEN 'new' ELSE p_type END AS p_type FROM part
 """)

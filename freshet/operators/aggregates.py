@@ -205,12 +205,12 @@ def usable_years(
 ) -> DataFrame:
     """Years with enough complete rows.
 
-    Years within ``keep_recent`` of ``now_year`` are kept with fewer rows.
+    Years not more than ``keep_recent`` before ``now_year`` are kept with fewer rows.
     """
     counts = with_keys(df, [year, *cols]).groupBy(year).agg(F.count(F.lit(1)).alias("n_rows"))
     keep = F.col("n_rows") >= min_rows
     if keep_recent is not None and now_year is not None:
-        keep = keep | (F.col(year) > now_year - keep_recent)
+        keep = keep | (F.col(year) >= now_year - keep_recent)
     return counts.filter(keep)
 
 

@@ -35,8 +35,14 @@ def cell_mean(df: DataFrame, keys: Sequence[str], value: str, factor: float = 1.
     return df.groupBy(*keys).agg((_mean_of_all(value, n_files) * factor).alias(value))
 
 
-def cell_max(df: DataFrame, keys: Sequence[str], value: str, factor: float = 1.0) -> DataFrame:
-    return df.groupBy(*keys).agg((F.max(value).cast("double") * factor).alias(value))
+def cell_max(
+    df: DataFrame, keys: Sequence[str], value: str, factor: float = 1.0, every_file: bool = False
+) -> DataFrame:
+    """Largest value; with ``every_file`` null if a file has no value for the cell."""
+    largest = F.max(value).cast("double") * factor
+    if every_file:
+        largest = F.when(F.count(value) == F.count(F.lit(1)), largest)
+    return df.groupBy(*keys).agg(largest.alias(value))
 
 
 METRIC_COLUMNS: dict[str, Callable[[str], Column]] = {
@@ -58,8 +64,9 @@ def apply_metric(
 
 
 def level_mean(df: DataFrame, keys: Sequence[str], level: str, value: str, levels: int = 5) -> DataFrame:
-    """Mean of the first ``levels`` depth levels."""
-    return df.filter(F.col(level) < levels).groupBy(*keys).agg(F.avg(value).alias(value))
+    """Mean of the first ``levels`` depth levels; null where one of them has no value."""
+    mean = F.when(F.count(value) == levels, F.avg(value))
+    return df.filter(F.col(level) < levels).groupBy(*keys).agg(mean.alias(value))
 
 
 def cell_log(df: DataFrame, value: str) -> DataFrame:

@@ -100,15 +100,17 @@ def rollout_years(catalog: DataFrame, data: DataFrame, dataset: str, year: str,
     return layers.join(newest, dataset).withColumn("default", F.col(year) == F.col("_newest")).drop("_newest")
 
 
-def assign_by_order(layers: DataFrame, dates: DataFrame, order: str = "order", date: str = "date", current: str = "shown") -> DataFrame:
-    """The layer with order k shows the k-th date; layers without one keep theirs.
+def assign_by_order(
+    layers: DataFrame, dates: DataFrame, order: str = "order", date: str = "date", current: str = "shown", first: int = 0
+) -> DataFrame:
+    """The layer of order ``first`` shows the first date, and so on; layers without one keep theirs.
 
     The dates of a forecast run are few; they are gathered into one array.
     """
     days = dates.select(date).distinct().agg(F.sort_array(F.collect_list(date)).alias("_d"))
     placed = days.select(F.posexplode("_d").alias("_pos", "_date"))
     return (
-        layers.join(placed, F.col(order) == F.col("_pos"), "left")
+        layers.join(placed, F.col(order) == F.col("_pos") + first, "left")
         .withColumn(current, F.coalesce("_date", current))
         .drop("_pos", "_date")
     )

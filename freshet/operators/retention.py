@@ -73,11 +73,12 @@ def keep_newest_dates(df: DataFrame, group: Sequence[str], date: str, n: int, di
 
 
 def keep_versions(df: DataFrame, version: str, n: int, exempt: Sequence[str] = ()) -> DataFrame:
-    """Rows of the newest ``n`` versions that are not exempt, and of the exempt ones."""
-    free = df.select(version).filter(~F.col(version).isin(*exempt)) if exempt else df.select(version)
-    kept = free.distinct().orderBy(F.desc(version)).limit(n)
-    newest = df.join(kept, version, "left_semi")
-    return newest.unionByName(df.filter(F.col(version).isin(*exempt))) if exempt else newest
+    """Rows of the newest ``n`` versions and of the exempt ones."""
+    versions = df.select(version).distinct()
+    kept = versions.orderBy(F.desc(version)).limit(n)
+    if exempt:
+        kept = kept.union(versions.filter(F.col(version).isin(*exempt)))
+    return df.join(kept, version, "left_semi")
 
 
 def newest(df: DataFrame, ts: str, tie: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import dates
 from ..operators import grid
 from ..operators.aggregates import complete_dates
+from ..operators.monitor import assign_by_order
 from ..operators.retention import keep_newest_dates
 from ..operators.windows import trailing_mean
 
@@ -31,6 +32,12 @@ def daily_air_quality(cells: DataFrame, files_per_day: int = 24) -> DataFrame:
     return grid.apply_metric(daily.join(usable, ["var", "date"], "left_semi"), ["date", *CELL], "var", "value")
 
 
+def layer_dates(layers: DataFrame, historical: DataFrame, forecast: DataFrame) -> DataFrame:
+    """Layer 0 shows the newest measured date, layer k the k-th forecast date."""
+    newest = historical.agg(F.max("date").alias("date")).filter("date is not null")
+    return assign_by_order(assign_by_order(layers, newest), forecast, first=1)
+
+
 def composite(cells: DataFrame, days: int = COMPOSITE_DAYS) -> DataFrame:
     """Mean of the days that end on each date with an image."""
     daily = cells.groupBy("date", *CELL).agg(F.sum("value").alias("_sum"), F.count("value").alias("_n"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.aggregates import pick_by
+from ..operators.retention import keep_newest
 from ..runtime import durable
 
 
@@ -129,11 +130,9 @@ class Target:
         kept = self.read().join(fresh.select(*keys), keys, "left_anti")
         self._rewrite(self._conform(kept).unionByName(fresh))
 
-    def patch_columns(self, df: DataFrame, cols: Sequence[str]) -> None:
-        """Refresh ``cols`` from the rows of ``df`` with the same id, where it has a value."""
-        fresh = df.select(self.id_col, *[F.col(c).alias(f"_{c}") for c in cols])
-        merged = self.read().join(fresh, self.id_col, "left")
-        self._rewrite(merged.withColumns({c: F.coalesce(f"_{c}", c) for c in cols}))
+    def patch_columns(self, df: DataFrame, cols: Sequence[str], last_n: int | None = None, order: str | None = None) -> None:
+        """:func:`patch_rows` on the rows of the target."""
+        self._rewrite(patch_rows(self.read(), df, self.id_col, cols, last_n, order))
 
     def trim(self, keep) -> None:
         """Apply a retention operator, such as ``lambda df: keep_newest(df, ...)``."""
@@ -146,7 +145,15 @@ def upsert_rows(target: DataFrame, df: DataFrame, keys: Sequence[str]) -> DataFr
     return kept.unionByName(df, allowMissingColumns=True)
 
 
-def patch_rows(target: DataFrame, df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+def patch_rows(
+    target: DataFrame, df: DataFrame, key: str, cols: Sequence[str], last_n: int | None = None, order: str | None = None
+) -> DataFrame:
+    """Refresh ``cols`` from the rows of ``df`` with the same key, where they have a value.
+
+    ``last_n`` uses only so many rows of ``df``, the last ones in ``order``.
+    """
+    if last_n is not None:
+        df = keep_newest(df, order, last_n, key)
     fresh = df.select(key, *[F.col(c).alias(f"_{c}") for c in cols])
     patched = target.join(fresh, key, "left").withColumns({c: F.coalesce(f"_{c}", c) for c in cols})
     return patched.select(*target.columns)

@@ -300,3 +300,13 @@ def test_series(spark, rows):
 
 def test_schemas():
     assert [f.dataType.simpleString() for f in from_served({"a": "text", "b": "numeric", "c": "timestamp"})] == ["string", "double", "timestamp_ntz"]
+
+
+def test_layers_show_measured_and_forecast_dates(spark, rows):
+    layers = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c"), (3, "d")], "order int, shown string")
+    measured = spark.createDataFrame([("2024-01-01",), ("2024-01-02",)], "date string")
+    forecast = spark.createDataFrame([("2024-01-04",), ("2024-01-03",)], "date string")
+    got = grids.layer_dates(layers, measured, forecast)
+    assert rows(got) == [(0, "2024-01-02"), (1, "2024-01-03"), (2, "2024-01-04"), (3, "d")]
+    none = grids.layer_dates(layers, measured.limit(0), forecast.limit(0))
+    assert rows(none, "shown") == [("a",), ("b",), ("c",), ("d",)]
