@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import as_time, date_from_parts, month_end_365
 from ..functions.keys import uid
 from ..functions.units import classify, percent_difference, percent_of
+from .joins import join_per_key
 
 # Text of one alert in a summary, and the separator between them.
 ALERT_TEXT = "[{num}] {commodity} markets were at a '{alps}' level as of {date}"
@@ -52,10 +53,10 @@ def with_group_value(df: DataFrame, keys: Sequence[str], value: Column, name: st
     """Put a group's aggregate on each of its rows.
 
     Aggregating and joining back needs no sort of whole groups in one task:
-    the aggregate is combined before the shuffle and its result is small.
+    the aggregate is combined before the shuffle, and the join splits a hot key.
     """
     totals = with_keys(df, keys).groupBy(*keys).agg(value.alias(name))
-    return df.join(totals, list(keys), "left")
+    return join_per_key(df, totals, keys)
 
 
 def share_of_total(
@@ -253,7 +254,7 @@ def assert_uniform(df: DataFrame, cols: Sequence[str]) -> None:
 def run_metrics(before: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """One row with the number of existing, new and already known rows of a run."""
     known = before.select(key).distinct().withColumn("_known", F.lit(True))
-    counts = incoming.join(known, key, "left").agg(
+    counts = join_per_key(incoming, known, [key]).agg(
         F.count_if(F.col("_known").isNull()).alias("new_rows"),
         F.count_if(F.col("_known").isNotNull()).alias("known_rows"),
     )

@@ -160,14 +160,14 @@ def time_slice(df: DataFrame, ts: str, start, end, value: str | None = None, coo
 def allow(df: DataFrame, col: str, values: Sequence | DataFrame) -> DataFrame:
     """Rows whose value is in a list or in the first column of a frame."""
     if isinstance(values, DataFrame):
-        return df.join(values.select(_name(values.columns[0]).alias(col)).distinct(), col, "left_semi")
+        return df.join(values.select(_name(values.columns[0]).alias(col)), col, "left_semi")
     return df.filter(_name(col).isin(*values))
 
 
 def deny(df: DataFrame, col: str, values: Sequence | DataFrame) -> DataFrame:
     """Rows whose value is not in a list or frame; rows without a value stay."""
     if isinstance(values, DataFrame):
-        return df.join(values.select(_name(values.columns[0]).alias(col)).distinct(), col, "left_anti")
+        return df.join(values.select(_name(values.columns[0]).alias(col)), col, "left_anti")
     return df.filter(_name(col).isNull() | ~_name(col).isin(*values))
 
 

@@ -28,6 +28,19 @@ def _keyed(df: DataFrame, dim: DataFrame, keys, how: str, null_safe: bool = Fals
     return joined.select("l.*", *kept)
 
 
+def join_per_key(df: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join rows to the one row per key that an aggregate gave.
+
+    Spark can split a hot key at run time only if both sides are shuffled for
+    the join.  An aggregate is already partitioned by its keys and would be
+    joined as it is; a hash of the keys as one more join key has its few rows
+    shuffled once more, and so lets the many rows of a hot key be split.
+    """
+    hashed = {"_hash": F.xxhash64(*keys)}
+    joined = df.withColumns(hashed).join(per_key.withColumns(hashed), [*keys, "_hash"], how)
+    return joined.drop("_hash")
+
+
 def join_chain(df: DataFrame, dims: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
     """Inner joins to one dimension after the other."""
     for dim, left, right in dims:
@@ -67,15 +80,15 @@ def lookup(
 ) -> DataFrame:
     """Add ``value`` of the dimension; misses give null or drop the row."""
     how = {"null": "left", "drop": "inner"}[on_miss]
-    return _keyed(df, dim.select(dim_key, value).dropDuplicates([dim_key]), [(key, dim_key)], how)
+    found = dim.select(F.col(dim_key).alias(key), value).dropDuplicates([key])
+    return join_per_key(df, found, [key], how).select(*df.columns, value)
 
 
 def grow_dimension(facts: DataFrame, dim: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """The dimension plus the members of ``source`` that facts mention and it lacks."""
     unseen = facts.select(key).distinct().join(dim.select(key), key, "left_anti")
-    return dim.unionByName(
-        source.join(unseen, key, "left_semi").dropDuplicates([key]), allowMissingColumns=True
-    )
+    added = source.dropDuplicates([key]).join(unseen, key, "left_semi")
+    return dim.unionByName(added, allowMissingColumns=True)
 
 
 def asof_available(
@@ -92,10 +105,10 @@ def asof_available(
     )
     found = (
         candidates.join(available.select(F.col(available.columns[0]).alias("_have")).distinct(), "_have")
-        .groupBy("_want")
+        .groupBy(F.col("_want").alias(date))
         .agg(F.max("_have").alias(name))
     )
-    return df.join(found, F.col(date) == F.col("_want"), "left").drop("_want")
+    return join_per_key(df, found, [date]).select(*df.columns, name)
 
 
 def expand_template(templates: DataFrame, periods: DataFrame, on: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import dates
 from ..operators import grid
 from ..operators.aggregates import complete_dates
+from ..operators.joins import join_per_key
 from ..operators.monitor import assign_by_order
 from ..operators.retention import keep_newest_dates
 from ..operators.windows import trailing_mean
@@ -29,7 +30,8 @@ def daily_air_quality(cells: DataFrame, files_per_day: int = 24) -> DataFrame:
     """Daily metric of each variable from hourly grids, for days from noon to noon with all files."""
     daily = cells.withColumn("date", dates.noon_day(F.col("ts")))
     usable = complete_dates(daily, ["var", "date"], "ts", files_per_day).select("var", "date")
-    return grid.apply_metric(daily.join(usable, ["var", "date"], "left_semi"), ["date", *CELL], "var", "value")
+    complete = join_per_key(daily, usable, ["var", "date"], "left_semi")
+    return grid.apply_metric(complete, ["date", *CELL], "var", "value")
 
 
 def layer_dates(layers: DataFrame, historical: DataFrame, forecast: DataFrame) -> DataFrame:

@@ -10,12 +10,15 @@ from pyspark.sql.window import Window
 
 from ..functions.dates import as_time
 from ..operators.aggregates import pick_by
+from ..operators.joins import join_per_key
 
 
 def insert_if_new(df: DataFrame, target: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """Rows with an id that the target lacks, the first of each id in ``order``."""
-    unseen = df.join(target.select(key), key, "left_anti")
-    return pick_by(unseen, [key], order, "first")
+    """Rows with an id that the target lacks, the first of each id in ``order``.
+
+    Repeated ids are reduced first, so the join sees each id once.
+    """
+    return pick_by(df, [key], order, "first").join(target.select(key), key, "left_anti").select(*df.columns)
 
 
 def high_marks(target: DataFrame, by: str, ts: str) -> DataFrame:
@@ -25,7 +28,7 @@ def high_marks(target: DataFrame, by: str, ts: str) -> DataFrame:
 
 def drop_late(df: DataFrame, marks: DataFrame, by: str, ts: str) -> DataFrame:
     """Rows newer than the newest stored time of their parameter."""
-    joined = df.join(marks, by, "left")
+    joined = join_per_key(df, marks, [by])
     return joined.filter(F.col("high_mark").isNull() | (F.col(ts) > F.col("high_mark"))).drop("high_mark")
 
 
@@ -41,11 +44,11 @@ def until_known(
         return df.join(known.select(id_col), id_col, "left_anti").select(*df.columns)
     place = F.struct(*order)
     first = (
-        df.join(known.select(id_col).distinct(), id_col, "left_semi")
+        df.join(known.select(id_col), id_col, "left_semi")
         .groupBy(*keys)
         .agg(F.min(place).alias("_first_known"))
     )
-    marked = df.join(first, list(keys), "left")
+    marked = join_per_key(df, first, keys)
     return marked.filter(F.col("_first_known").isNull() | (place < F.col("_first_known"))).drop("_first_known")
 
 
@@ -76,7 +79,8 @@ def recompute_affected(
     facts: DataFrame, affected: DataFrame, keys: Sequence[str], summarize
 ) -> DataFrame:
     """Summaries of the affected keys only."""
-    return summarize(facts.join(affected.select(*keys).distinct(), list(keys), "left_semi"))
+    touched = affected.select(*keys).distinct()
+    return summarize(join_per_key(facts, touched, keys, "left_semi"))
 
 
 def replace_run(df: DataFrame, run_col: str) -> DataFrame:

@@ -84,3 +84,27 @@ def test_refining_a_grid_needs_no_shuffle(spark):
 
     df = spark.range(4).selectExpr("cast(id as int) row", "cast(id as int) col", "id value")
     assert "Exchange" not in refine(df, 3)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_key_is_split_when_totals_are_joined_back(spark):
+    from pyspark.sql import functions as F
+
+    from freshet.operators.aggregates import with_group_value
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "500KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "500KB",
+    }
+    old = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 100_000)
+        df = spark.range(0, 600_000, 1, 8).select(key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("p"))
+        joined = with_group_value(df, ["k"], F.count(F.lit(1)), "n").agg(F.sum("n"), F.count("p"))
+        assert joined.first()[1] == 600_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
