@@ -4,6 +4,7 @@ from . import (  # noqa: F401
     aggregation,
     calendar_gaps,
     cleaning,
+    datasets,
     expressions,
     files,
     gridded,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates
@@ -26,10 +26,13 @@ ANTARCTIC = (-180.0, -89.75, 180.0, -50.0)
 CELL = ["row", "col"]
 
 
-def daily_air_quality(cells: DataFrame, files_per_day: int = 24) -> DataFrame:
-    """Daily metric of each variable from hourly grids, for days from noon to noon with all files."""
-    daily = cells.withColumn("date", dates.noon_day(F.col("ts")))
-    usable = complete_dates(daily, ["var", "date"], "ts", files_per_day).select("var", "date")
+def daily_air_quality(cells: DataFrame, files_per_day: int = 24, file: Column | None = None) -> DataFrame:
+    """Daily metric of each variable from hourly grids, for days from noon to noon with all files.
+
+    ``file`` tells the files of a day apart; by default their time does.
+    """
+    daily = cells.withColumns({"date": dates.noon_day(F.col("ts")), "_file": F.col("ts") if file is None else file})
+    usable = complete_dates(daily, ["var", "date"], "_file", files_per_day).select("var", "date")
     complete = join_per_key(daily, usable, ["var", "date"], "left_semi")
     return grid.apply_metric(complete, ["date", *CELL], "var", "value")
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..runtime import durable
+
 PAGE_NUMBER = r"(\d+)\.json$"
 
 
@@ -96,6 +98,10 @@ def read_pages(
     if max_page is not None:
         reader = reader.option("max_page", max_page)
     pages = reader.load(path)
-    pages = until_empty_page(pages) if stop_at_empty else pages.filter("record is not null")
+    if stop_at_empty:
+        # the first empty page is looked up in rows that are already read, so pages are parsed once
+        pages = until_empty_page(durable(pages, "paged"))
+    else:
+        pages = pages.filter("record is not null")
     parsed = F.from_json("record", schema)
     return pages.select("page", "position", parsed.alias("record")).select("page", "position", "record.*")

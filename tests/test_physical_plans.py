@@ -103,7 +103,7 @@ def test_hot_key_is_split_when_totals_are_joined_back(spark):
         key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 100_000)
         df = spark.range(0, 600_000, 1, 8).select(key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("p"))
         joined = with_group_value(df, ["k"], F.count(F.lit(1)), "n").agg(F.sum("n"), F.count("p"))
-        assert joined.first()[1] == 600_000
+        assert joined.collect()[0][1] == 600_000
         assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
     finally:
         for key, value in old.items():
