@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..functions.keys import uid_md5
 from ..operators.clean import rename
 from ..plans import areas, countries, events, grids, prices, stations
 from ..schemas import schema
@@ -161,7 +162,7 @@ def new_sensor_readings(spark, sf_dir):
         F.lit("a").alias("attribution"),
     )
     stored = source.filter(F.col("ts") < F.lit("2024-01-12").cast("timestamp_ntz")).select(
-        F.lit("none").alias("_UID"), parameter.alias("parameter"), F.col("ts").alias("utc")
+        uid_md5(F.concat(F.lit("L"), "user_id"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("_UID"), parameter.alias("parameter"), F.col("ts").alias("utc")
     )
     new = stations.sensor_readings(feed, stored, "2024-01-10", "2024-01-20")
     return new.select(F.col("_UID").alias("uid"), "ppm")

@@ -95,6 +95,7 @@ def test_hot_key_is_split_when_totals_are_joined_back(spark):
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "500KB",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "500KB",
+        "spark.sql.shuffle.partitions": "32",
     }
     old = {key: spark.conf.get(key) for key in settings}
     for key, value in settings.items():
