@@ -51,7 +51,7 @@ def newest_until_known(spark, sf_dir):
     stored, _ = _halves(spark, sf_dir)
     events = table(spark, sf_dir, "events").withColumn("age", -F.unix_micros(F.col("ts").cast("timestamp")))
     known = stored.filter("event_id % 3 = 0").select("event_id")
-    return inc.until_known(events, ["user_id"], ["age", "event_id"], known, "event_id").select("event_id")
+    return inc.until_known(events, ["user_id"], ["age", "event_id"], known, "event_id", strict=True).select("event_id")
 
 
 @query("""
@@ -61,7 +61,7 @@ def all_unknown(spark, sf_dir):
     stored, _ = _halves(spark, sf_dir)
     known = stored.filter("event_id % 3 = 0").select("event_id")
     events = table(spark, sf_dir, "events")
-    return inc.until_known(events, ["user_id"], ["ts"], known, "event_id", strict=False).select("event_id")
+    return inc.until_known(events, ["user_id"], ["ts"], known, "event_id").select("event_id")
 
 
 @query("""

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.geometry import box, perimeter, point, polygon
+from ..functions.geometry import box, from_geojson, perimeter, point, polygon, to_geojson
 from ..operators.clean import deny
 from ..operators.joins import (
     asof_available,
@@ -265,8 +265,10 @@ SELECT event_id, '{"type":"Point","coordinates":[' || ((user_id * 7 + event_id)
   || ((user_id * 11 + event_id * 3) % 100) || '.0]}' AS geojson FROM events
 """)
 def points_as_geojson(spark, sf_dir):
+    """Written as text, read back and written again."""
     places = _places(table(spark, sf_dir, "events"))
-    return places.select("event_id", F.to_json(point(F.col("lon"), F.col("lat"))).alias("geojson"))
+    texts = places.select("event_id", to_geojson(point(F.col("lon"), F.col("lat"))).alias("geojson"))
+    return texts.select("event_id", to_geojson(from_geojson(F.col("geojson"))).alias("geojson"))
 
 
 @query()

@@ -38,7 +38,7 @@ def station_forecasts(records: DataFrame, target: DataFrame, strict: bool = Fals
     rows = clean.conform(rows, schema("station_forecasts"))
     if strict:
         newest_first = rows.withColumn("_age", -F.unix_micros(F.col("date").cast("timestamp")))
-        rows = until_known(newest_first, ["name"], ["_age"], target, "uid").drop("_age")
+        rows = until_known(newest_first, ["name"], ["_age"], target, "uid", strict=True).drop("_age")
     return insert_if_new(rows, target, "uid", ["date"])
 
 

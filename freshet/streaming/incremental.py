@@ -33,12 +33,11 @@ def drop_late(df: DataFrame, marks: DataFrame, by: str, ts: str) -> DataFrame:
 
 
 def until_known(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], known: DataFrame, id_col: str, strict: bool = True
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], known: DataFrame, id_col: str, strict: bool = False
 ) -> DataFrame:
-    """Rows of each group before its first known id in ``order``.
+    """Unknown rows; with ``strict`` only those of each group before its first known id in ``order``.
 
-    With ``strict=False`` all unknown rows are kept.  The position of the first
-    known row is an aggregate, so no group is sorted.
+    The position of the first known row is an aggregate, so no group is sorted.
     """
     if not strict:
         return df.join(known.select(id_col), id_col, "left_anti").select(*df.columns)

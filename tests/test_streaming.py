@@ -77,8 +77,8 @@ def test_until_known(spark, rows):
     df = spark.createDataFrame([(i, "a", at(-i), 0) for i in range(6)] + [(9, "b", at(0), 0)], SCHEMA)
     df = df.withColumn("age", F.col("id"))
     known = spark.createDataFrame([(3,), (5,)], "id int")
-    assert rows(inc.until_known(df, ["p"], ["age"], known, "id"), "id") == [(0,), (1,), (2,), (9,)]
-    assert rows(inc.until_known(df, ["p"], ["age"], known, "id", strict=False), "id") == [(0,), (1,), (2,), (4,), (9,)]
+    assert rows(inc.until_known(df, ["p"], ["age"], known, "id", strict=True), "id") == [(0,), (1,), (2,), (9,)]
+    assert rows(inc.until_known(df, ["p"], ["age"], known, "id"), "id") == [(0,), (1,), (2,), (4,), (9,)]
 
 
 @pytest.mark.parametrize("known, want", [([], [1, 2, 4]), ([2], [1]), ([1], []), ([4], [1, 2])])
