@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_rules, secret_scan
+from . import decontaminate, language_mixture, line_dedup, mil_quality, mixing, pii, quality_rules, secret_scan
+from .textarrays import crc32_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -60,3 +61,50 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from every document."""
     taken, _ = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, and where."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data found in every document."""
+    found = pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = found.withColumn("base", F.filter("spans", lambda s: s["base"]))
+    return found.select(
+        "doc_id", *[count_of(kind) for kind in pii.BASE_KINDS],
+        F.sha2(secret_scan.span_text(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.span_text(F.col("spans")).alias("spans"),
+    )
+
+
+@query()
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from four fifths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rest = crc32_mod("doc_id", 5)
+    model = language_mixture.learn(docs.filter(rest != 0))
+    found = language_mixture.identify(docs.select("doc_id", "text", F.coalesce(rest == 0, F.lit(False)).alias("held_out")), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.size("languages").alias("n_languages"))
+
+
+@query()
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from three quarters of the labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rest = crc32_mod("doc_id", 4)
+    labels = table(spark, sf_dir, "labels").filter(rest != 2).select("doc_id", F.col("quality").alias("label"))
+    found = mil_quality.score(docs, mil_quality.learn(docs, labels))
+    return found.select(
+        "doc_id", F.coalesce(rest == 2, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+@query()
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that another document, or the same one before, has alike."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
