@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_mixture, line_dedup, mil_quality, mixing, pii, quality_rules, secret_scan
+from . import decontaminate, jaccard_join, language_mixture, line_dedup, mil_quality, mixing, pii, quality_rules, secret_scan
 from .textarrays import crc32_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,9 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that another document, or the same one before, has alike."""
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and near-duplicate component of every document."""
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))

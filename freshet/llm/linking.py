@@ -20,7 +20,7 @@ def components(links: DataFrame) -> DataFrame:
     links = durable(ends.filter("a <> b and a is not null and b is not null").distinct(), "links")
     before = None
     while True:
-        state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") / 2)).first()
+        state = links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if tuple(state) == before or not state[0]:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
                 links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
