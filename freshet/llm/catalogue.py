@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, language_mixture, line_dedup, mil_quality, mixing, pii, quality_rules, secret_scan
+from . import decontaminate, jaccard_join, language_mixture, line_dedup, lm_score, mil_quality, mixing, pii, quality_rules, secret_scan
 from .textarrays import crc32_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,14 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle count and near-duplicate component of every document."""
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model score of every document, learned from six sevenths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    code = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return lm_score.score_documents(docs.select(
+        "doc_id", "text", F.coalesce(code % 7 != 2, F.lit(False)).alias("training"),
+        F.coalesce(code % 7 == 2, F.lit(False)).alias("held_out"), F.floor(code / 7).alias("part"),
+    ))
