@@ -29,9 +29,8 @@ def keep_newest_rows(spark, sf_dir):
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM events ORDER BY ts DESC, event_id DESC LIMIT 777
 """)
 def keep_newest_by_day_counts(spark, sf_dir):
-    """The large-budget form, with its limit set low so that it runs on small tables."""
     events = table(spark, sf_dir, "events").select("event_id", "ts")
-    kept = keep_newest(events, "ts", 777, "event_id", sort_limit=0)
+    kept = keep_newest(events, "ts", 777, "event_id")
     return kept.withColumn("ts", time_text("ts"))
 
 
@@ -104,8 +103,12 @@ def ingest_cap(spark, sf_dir):
     return cap_new(events, [F.desc("value"), "event_id"], 250).select("event_id")
 
 
-@query("SELECT event_id FROM events ORDER BY ts, event_id LIMIT 1234")
+@query("""
+SELECT event_id FROM events WHERE event_type <> 'view' ORDER BY ts, event_id
+LIMIT (SELECT greatest(0, 5000 - count(*)) FROM events WHERE event_type = 'view')
+""")
 def ingest_cap_numbered(spark, sf_dir):
-    """The large-cap form of the same rule."""
-    events = table(spark, sf_dir, "events").select("event_id", "ts")
-    return cap_new(events, ["ts", "event_id"], 1234, sort_limit=0).select("event_id")
+    """New events as far as a budget leaves room beside the stored ones."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    stored, new = events.filter("event_type = 'view'"), events.filter("event_type <> 'view'")
+    return cap_new(new, ["ts", "event_id"], 5000, stored).select("event_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,9 +23,27 @@ def as_time(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("timestamp_ntz")
 
 
+_ZONE = re.compile("[zZVOXx]")
+
+
+def _since_epoch(micros: Column) -> Column:
+    """Time without zone so many microseconds after 1970 began in UTC."""
+    seconds = (micros.cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
 def parse_ts(col: Column, *formats: str) -> Column:
-    """First format that fits; null if none does."""
-    return F.coalesce(*[F.try_to_timestamp(col, F.lit(f)).cast("timestamp_ntz") for f in formats])
+    """First format that fits; null if none does.
+
+    A text with an offset becomes UTC time; one without is taken as it stands.
+    Neither depends on the session's zone.
+    """
+    def parsed(form: str) -> Column:
+        if _ZONE.search(re.sub("'[^']*'", "", form)):
+            return F.try_to_timestamp(col, F.lit(form))
+        return F.try_to_timestamp(F.concat(col, F.lit(" +0000")), F.lit(f"{form} Z"))
+
+    return _since_epoch(F.unix_micros(F.coalesce(*[parsed(f) for f in formats])))
 
 
 def from_epoch(col: Column, unit: str = "s", zero_fill: bool = False) -> Column:
@@ -31,8 +51,7 @@ def from_epoch(col: Column, unit: str = "s", zero_fill: bool = False) -> Column:
     number = col.cast("bigint")
     if zero_fill:
         number = F.coalesce(number, F.lit(0).cast("bigint"))
-    ts = F.timestamp_millis(number) if unit == "ms" else F.timestamp_seconds(number)
-    return ts.cast("timestamp_ntz")
+    return _since_epoch(number * (1000 if unit == "ms" else 1_000_000))
 
 
 def from_decimal_year(col: Column) -> Column:
@@ -182,7 +201,7 @@ def parse_rfc822(col: Column) -> Column:
     text = F.trim(F.regexp_replace(col, r"^\s*[A-Za-z]{3,9},\s*", ""))
     text = F.regexp_replace(text, r"\b(GMT|UTC|UT)$", "+0000")
     formats = ["d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm Z", "d MMM yyyy HH:mm:ss"]
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    return parse_ts(text, *formats)
 
 
 def date_from_parts(year: Column, month: Column, day: Column) -> Column:

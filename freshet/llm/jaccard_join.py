@@ -22,6 +22,8 @@ NUMERATOR, DENOMINATOR = 3, 4
 LARGEST_SMALL = 12  # sets above this size are never enumerated
 LIST_COST = 4.0  # what a posting costs in list scans, in postings
 ORDERED = 1 << 19  # entries of the table of frequent shingles
+BINS = 256  # bins of a set's histogram, which bounds the overlap of two sets
+BLOCK_SETS = 1024
 NO_ID = 2**63 - 1
 
 
@@ -291,13 +293,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     roots = components(judged.filter("same"))
     stars = shared.filter("cls <> centre").select(F.col("cls").alias("a"), F.col("centre").alias("b")).distinct()
     judged, roots = _again(stars, judged, roots, classes, texts)
-    marked = _with_root(shared.select("key", "cls"), roots, "cls", "root").distinct()
-    open_keys = marked.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r <> s").select("key")
-    marked = durable(marked.join(open_keys, "key", "left_semi"), "open")
-    left = marked.select("key", F.col("cls").alias("a"), F.col("root").alias("r"))
-    right = marked.select("key", F.col("cls").alias("b"), F.col("root").alias("s"))
-    rest = left.join(right, "key").filter("r < s").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    _, roots = _again(rest.distinct(), judged, roots, classes, texts)
+    _, roots = _again(_unconnected(shared, roots, classes, texts), judged, roots, classes, texts)
     named = _with_root(classes.select("cls", "low"), roots, "cls", "root")
     lowest = named.groupBy("root").agg(F.min("low").alias("component"))
     of_class = named.join(lowest, "root").select("cls", "component")
@@ -308,6 +304,85 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def _histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many elements of each set fall into each bin, up to 255; the rest is told by the size."""
+    for batch in batches:
+        for a, b in slices(batch.column("text")):
+            values, offsets = sets_of(batch.column("text").slice(a, b - a))
+            row = np.repeat(np.arange(b - a), np.diff(offsets))
+            at = row * BINS + (values >> np.uint64(40)).astype(np.int64) % BINS
+            table = np.minimum(np.bincount(at, minlength=(b - a) * BINS), 255).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("cls").slice(a, b - a), pa.array(np.diff(offsets)),
+                pa.array([table[i * BINS : (i + 1) * BINS].tobytes() for i in range(b - a)], pa.binary()),
+            ], ["cls", "n", "bins"])
+
+
+def _block_pairs(group: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of sets of one block pair that are not connected and whose histograms allow the overlap they need."""
+    cls, root, n, side = (group.column(c).to_numpy() for c in ("cls", "root", "n", "side"))
+    bins = np.frombuffer(b"".join(group.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)
+    over = n - bins.sum(1, dtype=np.int64)
+    left, right = np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max())
+    for i in range(0, len(left), 32):
+        x, y = left[i : i + 32][:, None], right[None]
+        fits = (root[x] != root[y]) & (DENOMINATOR * n[x] >= NUMERATOR * n[y]) & (DENOMINATOR * n[y] >= NUMERATOR * n[x])
+        if side.min() == side.max():
+            fits &= cls[x] > cls[y]
+        u, v = np.nonzero(fits)
+        u, v = left[i + u], right[v]
+        for j in range(0, len(u), 20_000):
+            a, b = u[j : j + 20_000], v[j : j + 20_000]
+            most = np.minimum(bins[a], bins[b]).sum(1, dtype=np.int64) + np.minimum(over[a], over[b])
+            a, b = (z[(NUMERATOR + DENOMINATOR) * most >= NUMERATOR * (n[a] + n[b])] for z in (a, b))
+            yield np.maximum(cls[a], cls[b]), np.minimum(cls[a], cls[b])
+
+
+def _blocks_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of every block pair; rows come sorted by it, and one block pair at a time is held."""
+
+    def pairs(group: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for a, b in _block_pairs(pa.Table.from_batches(group)) if group else ():
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    held, now = [], None
+    for batch in batches:
+        place = np.stack([batch.column(c).to_numpy() for c in ("family", "low", "high")])
+        cuts = [0, *(np.flatnonzero((place[:, 1:] != place[:, :-1]).any(0)) + 1), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if a == b:
+                continue
+            if tuple(place[:, a]) != now:
+                yield from pairs(held)
+                held, now = [], tuple(place[:, a])
+            held.append(batch.slice(a, b - a))
+    yield from pairs(held)
+
+
+def _unconnected(shared: DataFrame, roots: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of classes that share a key, are in different components and may reach the similarity.
+
+    Keys whose classes are all connected are done.  The classes of the others
+    are brought together by the smallest component of the key, dealt into
+    blocks of about :data:`BLOCK_SETS`, and each pair of blocks is one small
+    group.  Inside it, sizes, components and histograms of the sets rule out
+    most pairs before a pair is made.
+    """
+    marked = _with_root(shared.select("key", "cls"), roots, "cls", "root").distinct()
+    open_keys = marked.groupBy("key").agg(F.min("root").alias("family"), F.max("root").alias("s")).filter("family <> s")
+    members = durable(marked.join(open_keys.select("key", "family"), "key").select("family", "cls", "root").distinct(), "open")
+    own = texts.join(members.select("cls").distinct(), "cls", "left_semi")
+    sets = own.select("cls", "text").mapInArrow(_histograms, "cls bigint, n bigint, bins binary")
+    blocks = members.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("blocks"))
+    dealt = (
+        members.join(blocks, "family").withColumn("side", F.pmod(F.xxhash64("cls"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("family", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "cls", "root")
+    )
+    rows = dealt.join(sets, "cls").repartition("family", "low", "high").sortWithinPartitions("family", "low", "high")
+    return rows.mapInArrow(_blocks_task, "a bigint, b bigint").distinct()
+
+
 def _with_root(df: DataFrame, roots: DataFrame, key: str, name: str) -> DataFrame:
     """``df`` with the component of ``key``; a class without links is its own."""
     known = roots.select(F.col("node").alias(key), F.col("root").alias("_root"))

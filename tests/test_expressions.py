@@ -180,3 +180,22 @@ def test_geometry(one):
     assert [got[k] for k in ("inner", "edge", "corner", "outer", "in_hole", "ring")] == [True, True, True, False, False, True]
     assert tuple(got["wkb"]) == tuple(got["ewkb"]) == (1.0, 2.0)
     assert got["bad"] is None or tuple(got["bad"]) == (None, None)
+
+
+def test_times_do_not_depend_on_the_session_zone(spark):
+    rows = spark.createDataFrame(
+        [(0, "2024-03-10 02:30:00", "2024-03-10T02:30:00-0500", "Sun, 10 Mar 2024 02:30:00 +0000"),
+         (1710052200, "2024-11-03 01:30:00", "2024-11-03T01:30:00+0200", "03 Nov 2024 01:30:00 GMT")],
+        "n bigint, plain string, offset string, feed string",
+    )
+    times = lambda: [tuple(map(str, r)) for r in rows.select(
+        dates.from_epoch(F.col("n")), dates.from_epoch(F.col("n") * 1000, "ms"), dates.parse_ts(F.col("plain"), "yyyy-MM-dd HH:mm:ss"),
+        dates.parse_ts(F.col("offset"), "yyyy-MM-dd'T'HH:mm:ssZ"), dates.parse_rfc822(F.col("feed")),
+    ).collect()]
+    before, zone = times(), spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert times() == before
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert before[0] == ("1970-01-01 00:00:00", "1970-01-01 00:00:00", "2024-03-10 02:30:00", "2024-03-10 07:30:00", "2024-03-10 02:30:00")

@@ -167,9 +167,10 @@ def test_large_budget_equals_top_n(spark, n):
     times += [start + dt.timedelta(days=3)] * 20 + [start + dt.timedelta(days=rng.randrange(9)) for _ in range(45)] + [None] * 5
     df = spark.createDataFrame(list(enumerate(times)), "id int, ts timestamp_ntz")
     for nulls in ("last", "first"):
-        small = retention.keep_newest(df, "ts", n, "id", nulls)
-        large = retention.keep_newest(df, "ts", n, "id", nulls, sort_limit=-1)
-        assert sorted(r["id"] for r in large.collect()) == sorted(r["id"] for r in small.collect())
+        newest = F.desc_nulls_first("ts") if nulls == "first" else F.desc_nulls_last("ts")
+        want = df.orderBy(newest, F.desc("id")).limit(n)
+        got = retention.keep_newest(df, "ts", n, "id", nulls)
+        assert sorted(r["id"] for r in got.collect()) == sorted(r["id"] for r in want.collect())
 
 
 def test_row_numbers_with_one_large_group(spark):
