@@ -156,6 +156,36 @@ def test_gradients_agree_with_differences():
         assert g[i] == pytest.approx((loss(up) - loss(down)) / 2e-5, rel=1e-3)
 
 
+def test_model_learns_from_whole_texts(spark, monkeypatch, tmp_path):
+    rng = random.Random(21)
+    rows = [(f"{text_of(rng, 40 * i)} last{i}", None if i == 3 else i) for i in range(20)]
+    table = spark.createDataFrame(rows, "text string, part bigint")
+    path = lm_score.tokenizer_path()
+    counts = lm_score.count_corpus(table, path)
+    _, _, ids, _ = lm_score.read(pa.array([t for t, _ in rows]), lm_score.subwords(path))
+    got = {(r.kind, r.key): r.n for r in counts.collect()}
+    assert {k: n for (kind, k), n in got.items() if kind == lm_score.TOKEN} == Counter(ids.tolist())
+    assert sum(n for (kind, _), n in got.items() if kind == lm_score.PAIR) == len(ids)
+    assert got[lm_score.END, 0] == len(rows)
+    folder = str(tmp_path)
+
+    def note(*_):
+        def run(batches):
+            import uuid
+
+            for batch in batches:
+                for text in batch.column("text").to_pylist():
+                    with open(f"{folder}/{uuid.uuid4().hex}", "w") as out:
+                        out.write(text)
+            yield from ()
+
+        return run
+
+    monkeypatch.setattr(lm_score, "_train_task", note)
+    lm_score.train(table, counts, path)
+    assert sorted(p.read_text() for p in tmp_path.iterdir()) == sorted(t for t, _ in rows)
+
+
 # ---------------------------------------------------------------- 3
 
 
