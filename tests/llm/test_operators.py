@@ -379,6 +379,15 @@ def test_lines_keep_one_of_each_group(docs):
     assert line_dedup.dedup_lines(docs()).count() == 0
 
 
+def test_rows_of_one_id_are_documents_of_their_own(docs):
+    rng = random.Random(22)
+    line, lone = text_of(rng, 20), text_of(rng, 20)
+    rows = [(1, line), (1, line), (None, line), (None, lone), (None, f"{lone}\nown {text_of(rng, 12)}")]
+    found = line_dedup.dedup_lines(docs(*rows)).collect()
+    assert len(found) == len(rows) and sum(line in r.text.split("\n") for r in found) == 1
+    assert sum(lone in r.text.split("\n") for r in found) == 1 and next(r.doc_id for r in found if r.text == line) == 1
+
+
 def test_bands_find_alike_lines():
     rng = random.Random(12)
     lines, found = [], 0

@@ -125,3 +125,12 @@ def test_pipeline(spark, small_dir, small, empty_dir):
         docs, last = out, name
     assert last == "mix" and all(r.taken <= 2 * r.size for r in docs.collect())
     assert corpus_pipeline.run(spark, empty_dir).count() == 0
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark, docs):
+    word = lambda name: " ".join(f"{name}{i}" for i in range(30))
+    a, b, c, clean = word("a"), word("b"), word("c"), word("clean")
+    rows = [(1, a), (1, a), (2, a), (None, a), (None, b), (None, b), (3, c), (4, c), (4, clean), (5, None), (5, "")]
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    kept = Counter((r.doc_id, r.text) for r in stage(spark, docs(*rows), "").collect())
+    assert kept == Counter([(1, a), (None, b), (3, c), (4, clean), (5, None), (5, "")])
