@@ -379,6 +379,30 @@ def test_lines_keep_one_of_each_group(docs):
     assert line_dedup.dedup_lines(docs()).count() == 0
 
 
+@pytest.mark.parametrize("block", [1024, 40])
+def test_lines_of_a_hot_band_agree_with_brute_force(spark, docs, monkeypatch, block):
+    monkeypatch.setattr(line_dedup, "BLOCK_LINES", block)
+    rng = random.Random(23)
+    draw = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    head, lines = draw(160), []
+    for _ in range(150):
+        own = draw(35)
+        lines += [head + own, head + own[:9] + draw(1) + own[10:20] + draw(1) + own[21:]]
+    low, starts, ends, _, _ = line_dedup.normal_lines(pa.array(lines), 20)
+    bands = [set(x) for x in (line_dedup.band_keys(line_dedup.signatures(low, starts, ends)) >> np.uint64(24)).tolist()]
+    k = line_dedup.SHINGLE
+    sets = [{x[i : i + k] for i in range(len(x) - k + 1)} for x in lines]
+    place = {id(x): i for i, x in enumerate(sets)}
+
+    def linked(a, b):
+        both = len(a & b)
+        return both >= line_dedup.SIMILARITY * (len(a) + len(b) - both) and bool(bands[place[id(a)]] & bands[place[id(b)]])
+
+    want = len(set(plain.components(sets, linked)))
+    found = line_dedup.dedup_lines(docs(*enumerate(lines)))
+    assert sum(bool(r.text) for r in found.collect()) == want < len(lines)
+
+
 def test_rows_of_one_id_are_documents_of_their_own(docs):
     rng = random.Random(22)
     line, lone = text_of(rng, 20), text_of(rng, 20)
