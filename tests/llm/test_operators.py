@@ -403,6 +403,15 @@ def test_lines_of_a_hot_band_agree_with_brute_force(spark, docs, monkeypatch, bl
     assert sum(bool(r.text) for r in found.collect()) == want < len(lines)
 
 
+def test_short_lines_with_one_edit_are_linked(docs):
+    rng = random.Random(24)
+    lines = []
+    for _ in range(40):
+        line = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(45))
+        lines += [line, line[:22] + "9" + line[23:]]
+    assert sum(bool(r.text) for r in line_dedup.dedup_lines(docs(*enumerate(lines))).collect()) <= 41
+
+
 def test_rows_of_one_id_are_documents_of_their_own(docs):
     rng = random.Random(22)
     line, lone = text_of(rng, 20), text_of(rng, 20)
