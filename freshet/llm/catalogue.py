@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, language_mixture, line_dedup, lm_score, mil_quality, mixing, pii, quality_rules, secret_scan
+from . import (
+    decontaminate, jaccard_join, language_mixture, line_dedup, lm_score, merkle, mil_quality, mixing, oracle, packing, pii,
+    quality_rules, secret_scan, spelling,
+)
 from .textarrays import crc32_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +128,41 @@ def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "text", F.coalesce(code % 7 != 2, F.lit(False)).alias("training"),
         F.coalesce(code % 7 == 2, F.lit(False)).alias("held_out"), F.floor(code / 7).alias("part"),
     ))
+
+
+@query(oracle.MERKLE)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether a possibly changed document still folds to the root.
+
+    A document without an id is not changed.
+    """
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    leaf = merkle.row_digest(*fields)
+    changed = merkle.row_digest("doc_id", "source", "lang", F.col("n_chars") + 1, "text")
+    rows = docs.select(*fields, F.when(crc32_mod("doc_id", 7) == 0, changed).alias("changed"))
+    found = merkle.manifest(rows, leaf, "lang", "doc_id", ["doc_id", "changed"])
+    folded = merkle.fold(F.coalesce("changed", "leaf"), F.col("proof"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(F.col("proof")).cast("binary"), 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query()
+def op12_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every token piece of every document and its place in a sequence of 4096 tokens."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), 4096, 1)
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), 4096)
+
+
+@query(oracle.SPELLING)
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every word; runs in a document without an id lose no letter."""
+    runs = spelling.runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    code = F.crc32(F.concat(F.col("row.doc_id").cast("string"), F.lit(":"), "run").cast("binary"))
+    words = runs.select(spelling.dropped_letter(F.col("run"), code, 199).alias("word"))
+    return spelling.group_variants(spelling.word_counts(words, "word", 6, 5))
