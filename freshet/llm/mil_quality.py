@@ -97,15 +97,23 @@ def _start(seed: int) -> dict[str, np.ndarray]:
     }
 
 
-def _forward(w: dict[str, np.ndarray], x: np.ndarray, bags: np.ndarray) -> dict[str, np.ndarray]:
+def _in_order(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """``x @ w``, summed for every row in the same order however many rows there are."""
+    out = np.zeros((len(x), w.shape[1]))
+    for j in range(len(w)):
+        out += x[:, j : j + 1] * w[j].astype(np.float64)
+    return out
+
+
+def _forward(w: dict[str, np.ndarray], x: np.ndarray, bags: np.ndarray, times=np.matmul) -> dict[str, np.ndarray]:
     bag = np.repeat(np.arange(len(bags) - 1), np.diff(bags))
-    h = np.tanh(x @ w["encode"] + w["shift"])
-    t, g = np.tanh(h @ w["tanh"]), _sigmoid(h @ w["gate"])
-    e = ((t * g) @ w["attend"])[:, 0]
+    h = np.tanh(times(x, w["encode"]) + w["shift"])
+    t, g = np.tanh(times(h, w["tanh"])), _sigmoid(times(h, w["gate"]))
+    e = times(t * g, w["attend"])[:, 0]
     e = np.exp(e - np.maximum.reduceat(e, bags[:-1])[bag])
     a = e / np.add.reduceat(e, bags[:-1])[bag]
     z = np.add.reduceat(h * a[:, None], bags[:-1], axis=0)
-    p = _sigmoid((z @ w["out"])[:, 0] + w["bias"][0])
+    p = _sigmoid(times(z, w["out"])[:, 0] + w["bias"][0])
     return {"bag": bag, "h": h, "t": t, "g": g, "a": a, "z": z, "p": p}
 
 
@@ -189,15 +197,16 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``score``, the probability of label 1, from the attention-weighted passages of the whole text.
 
-    Null and empty texts are scored as one empty passage.  A column named
-    score is replaced; all other columns and equal rows are kept.
+    Null and empty texts are scored as one empty passage.  Equal texts have equal
+    scores wherever they stand.  A column named score is replaced; all other
+    columns and equal rows are kept.
     """
 
     def run(texts: pa.Array) -> pa.Array:
         out = [np.zeros(0)]
         for low, high in slices(texts):
             x, bags = passages(*text_bytes(texts.slice(low, high - low)))
-            out.append(_forward(model.weights, x, bags)["p"])
+            out.append(_forward(model.weights, x, bags, _in_order)["p"])
         return pa.array(np.concatenate(out).astype(np.float64))
 
     return docs.withColumn("score", F.arrow_udf(run, "double")(F.col("text")))

@@ -353,6 +353,12 @@ def test_quality_learns_from_passages(spark, docs):
     got = {r.doc_id: r.score for r in mil_quality.score(table, model).collect()}
     assert np.mean([(got[i] >= 0.7) == (i % 2 == 0) for i in range(120, 200)]) >= 0.9
     assert got[None] == got[500] and all(0 <= s <= 1 for s in got.values())
+    same = [r for r in (*good[:5], *bad[:5]) for _ in range(3)]
+    mixed = docs(*same, *good, *same, *bad, *same).repartition(7)
+    scores = {}
+    for r in mil_quality.score(mixed, model).collect():
+        scores.setdefault(r.text, set()).add(r.score)
+    assert {len(x) for x in scores.values()} == {1}
     empty = mil_quality.learn(table, labels.limit(0))
     assert {r.score for r in mil_quality.score(table, empty).collect()} == {0.5}
 
