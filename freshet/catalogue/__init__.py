@@ -13,6 +13,7 @@ from . import (  # noqa: F401
     keeping,
     moving,
     reshaping,
+    shapes,
     targets,
 )
 from .registry import QUERIES, SQL  # noqa: F401

@@ -10,12 +10,17 @@ from __future__ import annotations
 import struct
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 POINT = "struct<type: string, coordinates: array<double>>"
 MULTIPOINT = "struct<type: string, coordinates: array<array<double>>>"
 POLYGON = "struct<type: string, coordinates: array<array<array<double>>>>"
+#: Any geometry, with its coordinates as text; see :func:`area_parts` and :func:`line_parts`.
+ANY = "struct<type: string, coordinates: string>"
+#: Polygons of an area, each a list of rings; and the lines of a line geometry.
+PARTS = "array<array<array<array<double>>>>"
+LINES = "array<array<array<double>>>"
 
 
 def point(lon: Column, lat: Column) -> Column:
@@ -113,6 +118,55 @@ def covers(geom: Column, x: Column, y: Column) -> Column:
     return edges_cover(edges(geom), x, y)
 
 
+def area_parts(geom: Column) -> Column:
+    """Polygons of a Polygon or MultiPolygon read as :data:`ANY`; null for other types and broken coordinates."""
+    one = F.from_json(F.concat(F.lit("["), geom["coordinates"], F.lit("]")), PARTS)
+    return F.when(geom["type"] == "Polygon", one).when(
+        geom["type"] == "MultiPolygon", F.from_json(geom["coordinates"], PARTS)
+    )
+
+
+def parts_of(df: DataFrame, name: str) -> Column:
+    """Polygons of a geometry column, whether read as :data:`ANY` or with the nesting of one polygon or of several."""
+    kind = df.schema[name].dataType["coordinates"].dataType.simpleString()
+    if kind == "string":
+        return area_parts(F.col(name))
+    coordinates = F.col(name)["coordinates"]
+    return coordinates if kind == PARTS else F.when(coordinates.isNotNull(), F.array(coordinates))
+
+
+def line_parts(geom: Column) -> Column:
+    """Lines of a LineString or MultiLineString read as :data:`ANY`; null for other types and broken coordinates."""
+    one = F.from_json(F.concat(F.lit("["), geom["coordinates"], F.lit("]")), LINES)
+    return F.when(geom["type"] == "LineString", one).when(
+        geom["type"] == "MultiLineString", F.from_json(geom["coordinates"], LINES)
+    )
+
+
+def parts_geojson(parts: Column) -> Column:
+    """GeoJSON text of an area: a Polygon if it has one part, a MultiPolygon otherwise; null without parts."""
+    one = F.to_json(F.struct(F.lit("Polygon").alias("type"), F.get(parts, F.lit(0)).alias("coordinates")))
+    many = F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), parts.alias("coordinates")))
+    return F.when(F.size(parts) == 1, one).when(F.size(parts) > 1, many)
+
+
+def lines_geojson(lines: Column) -> Column:
+    """GeoJSON text of lines: a LineString if there is one, a MultiLineString otherwise; null without lines."""
+    one = F.to_json(F.struct(F.lit("LineString").alias("type"), F.get(lines, F.lit(0)).alias("coordinates")))
+    many = F.to_json(F.struct(F.lit("MultiLineString").alias("type"), lines.alias("coordinates")))
+    return F.when(F.size(lines) == 1, one).when(F.size(lines) > 1, many)
+
+
+def parts_perimeter(parts: Column) -> Column:
+    """Length of all rings of all parts, in the units of the coordinates."""
+    return F.aggregate(parts, F.lit(0.0), lambda acc, rings: acc + perimeter(F.struct(rings.alias("coordinates"))))
+
+
+def parts_edges(parts: Column) -> Column:
+    """All edges of all rings of an area."""
+    return F.flatten(F.transform(F.flatten(parts), _edges))
+
+
 def from_geojson(col: Column, schema: str = POINT) -> Column:
     return F.from_json(col, schema)
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, geometry, keys
-from ..operators import aggregates, clean, joins, spatial
+from ..operators import aggregates, clean, joins
+from ..operators.area_index import points_in_areas
 from ..sinks.targets import upsert_rows
 from ..streaming.incremental import insert_if_new
 
@@ -25,12 +26,15 @@ FULL_PROTECTION = ["All", "Part"]
 
 
 def conflict_by_district(events: DataFrame, districts: DataFrame, coverage: DataFrame, tile: float = 1.0) -> DataFrame:
-    """Events of each type per district of the covered countries."""
+    """Events of each type per district of the covered countries.
+
+    ``objectid`` names a district; its geometry may have one part or many, see
+    :func:`geometry.parts_of`.
+    """
     covered = joins.semi_join(districts, coverage, "gid_0")
     once = aggregates.dedupe(events, ["event_id_cnty"], ["event_type", "latitude", "longitude"], "first")
-    pairs = spatial.points_in_polygons(
-        once, covered.select("objectid", "geometry"), "longitude", "latitude", tile=tile
-    )
+    shapes = covered.select("objectid", geometry.parts_of(covered, "geometry").alias("parts"))
+    pairs = points_in_areas(once, shapes, "objectid", "longitude", "latitude", tile=tile)
     counts = aggregates.pivot_counts(pairs, "objectid", "event_type", list(EVENT_COLUMNS))
     counts = clean.rename(counts, EVENT_COLUMNS)
     out = joins.left_join(covered, counts, ["objectid"])
@@ -43,7 +47,7 @@ def protected_areas(features: DataFrame, target: DataFrame) -> tuple[DataFrame,
         {
             "WDPA_PID": F.trim(F.regexp_replace("WDPA_PID", r"[\r\n]+", "")),
             "legal_status_updated_at": dates.year_start(F.col("STATUS_YR")),
-            "perimeter": geometry.perimeter(F.col("geometry")),
+            "perimeter": geometry.parts_perimeter(geometry.parts_of(features, "geometry")),
         }
     )
     new = insert_if_new(rows, target, "WDPA_PID", ["WDPAID"])
