@@ -12,6 +12,7 @@ from . import (  # noqa: F401
     joining,
     keeping,
     moving,
+    moving_state,
     reshaping,
     shapes,
     targets,
