@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.units import fixed
 from ..operators import grid
+from ..operators.warp import Grid, pyramid, warp
 from ..sources.grids import grid_to_cells, levels_to_cells
 from .registry import day_text, query, table
 
@@ -257,3 +258,43 @@ def polar_coordinates(spark, sf_dir):
     south_lon, south_lat = grid.polar_to_lonlat(x, y, "south")
     named = {"north_lat": north_lat, "north_lon": north_lon, "south_lat": south_lat, "south_lon": south_lon}
     return table(spark, sf_dir, "events").select("event_id", *[F.round(c, 6).alias(n) for n, c in named.items()])
+
+
+_POLAR_CELLS_SQL = """
+WITH p AS (SELECT i // 8 AS event_id, i, ((i % 8) - 3.5::DOUBLE) * 400000 + 13000 AS x, ((i // 8) - 3.5::DOUBLE) * 400000 - 27000 AS y FROM range(64) t(i)),
+""" + POLAR_SQL.split("FROM events),", 1)[1].lstrip().replace("event_id, x, y", "i, x, y")
+
+
+@query(_POLAR_CELLS_SQL + f""",
+s AS (SELECT i, radians(degrees(atan2(x, -y)) - 45) AS a, radians(lat) AS b FROM l),
+u AS (SELECT i, cos(b) * cos(a) AS x, cos(b) * sin(a) AS y, sin(b) AS z FROM s),
+g AS (SELECT j // 16 AS row, j % 16 AS col, radians(-180 + (j % 16 + 0.5::DOUBLE) * 22.5) AS a, radians(89.37::DOUBLE - (j // 16 + 0.5::DOUBLE) * 6.1) AS b FROM range(80) t(j)),
+n AS (SELECT g.row, g.col, u.i, row_number() OVER (PARTITION BY g.row, g.col
+        ORDER BY pow(cos(b) * cos(a) - x, 2) + pow(cos(b) * sin(a) - y, 2) + pow(sin(b) - z, 2), u.i) AS k FROM g CROSS JOIN u)
+SELECT vec_id, n.row, n.col, v FROM n JOIN ({CELLS_SQL}) c ON c.row = n.i // 8 AND c.col = n.i % 8 WHERE k = 1
+""")
+def polar_to_regular_grid(spark, sf_dir):
+    """Polar cells of 400 km on degrees: every cell of the target takes the nearest one, also beyond the source."""
+    x, y = (F.col("col") - 3.5) * 400000 + 13000, (F.col("row") - 3.5) * 400000 - 27000
+    lon, lat = grid.polar_to_lonlat(x, y, "north")
+    cells = _cells(spark, sf_dir).select("vec_id", "row", "col", lon.alias("lon"), lat.alias("lat"), "v")
+    return warp(cells, ["vec_id"], "v", Grid(-180.0, 89.37, 22.5, 6.1, 5, 16), 4.0)
+
+
+@query(f"""
+WITH b AS (SELECT vec_id, level, row >> level AS r, col >> level AS c, v,
+             ((row & 4) * 8 + (row & 2) * 4 + (row & 1) * 2) + ((col & 4) * 4 + (col & 2) * 2 + (col & 1)) AS z
+           FROM ({CELLS_SQL}), (SELECT unnest([1, 2, 3])::INTEGER AS level)),
+m AS (SELECT vec_id, level, r, c, v % 4 AS w, row_number() OVER (PARTITION BY vec_id, level, r, c ORDER BY count(*) DESC, v % 4) AS n
+      FROM b GROUP BY vec_id, level, r, c, v % 4)
+SELECT vec_id, level, CAST(r AS BIGINT) AS row, CAST(c AS BIGINT) AS col, sum(v)::DOUBLE / count(*) AS mean, any_value(w) AS mode, first(v ORDER BY z) AS sample
+FROM b JOIN (SELECT * FROM m WHERE n = 1) USING (vec_id, level, r, c) GROUP BY vec_id, level, r, c
+""")
+def grid_pyramid(spark, sf_dir):
+    """Three levels of overviews by each policy."""
+    cells = _cells(spark, sf_dir)
+    mean = pyramid(cells, ["vec_id"], "v", 3, "MEAN").withColumnRenamed("v", "mean")
+    mode = pyramid(cells.withColumn("v", F.col("v") % 4), ["vec_id"], "v", 3, "MODE").withColumnRenamed("v", "mode")
+    sample = pyramid(cells, ["vec_id"], "v", 3, "SAMPLE").withColumnRenamed("v", "sample")
+    keys = ["vec_id", "level", "row", "col"]
+    return mean.join(mode, keys).join(sample, keys)
