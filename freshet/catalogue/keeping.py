@@ -12,6 +12,7 @@ from ..operators.retention import (
     keep_versions,
     newest,
 )
+from ..operators.selection import By
 from .registry import day_text, query, table, time_text
 
 
@@ -100,7 +101,7 @@ def first_priority(spark, sf_dir):
 @query("SELECT event_id FROM events ORDER BY value DESC, event_id LIMIT 250")
 def ingest_cap(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "value")
-    return cap_new(events, [F.desc("value"), "event_id"], 250).select("event_id")
+    return cap_new(events, [By("value", True), "event_id"], 250).select("event_id")
 
 
 @query("""

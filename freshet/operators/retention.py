@@ -9,52 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.dates import as_time
-from .ordering import distributed_row_number
-
-_LEVEL = 100_000_000  # apart from any number of days, so that unknown times are a bucket of their own
-
-
-def _cut(rows: DataFrame, bucket: str, n: Column) -> tuple[Column, Column]:
-    """The bucket in which the ``n``-th newest row lies, and how many of its rows belong to the newest ``n``.
-
-    Both are null if there are no more than ``n`` rows.
-    """
-    newer = Window.orderBy(F.desc(bucket)).rowsBetween(Window.unboundedPreceding, 0)
-    counts = rows.groupBy(bucket).agg(F.count(F.lit(1)).alias("_rows"))
-    over = counts.withColumn("_sum", F.sum("_rows").over(newer)).filter(F.col("_sum") > n)
-    first = over.agg(F.max(F.struct(bucket, F.col("_sum") - F.col("_rows"))).alias("_at"))
-    return first.select(f"_at.{bucket}").scalar(), n - first.select("_at.col2").scalar()
-
+from .selection import By, first_rows
 
 def keep_newest(df: DataFrame, ts: str, n: int, tie: str, nulls: str = "last") -> DataFrame:
     """The newest ``n`` rows; the unique column ``tie`` decides between rows of the same time.
 
-    One lazy plan for every ``n``: rows are counted per day, then per second of
-    the day that fits in part, and only the rows of one second are put in
-    order.  That gives the last row to keep, and a filter keeps the rows up to
-    it.  Unknown times are a day of their own, before or after all others.
+    The last row to keep is found by counting, see :func:`selection.first_rows`, and
+    a filter keeps the rows up to it.  Unknown times come before or after all others.
     """
-    unknown = F.col(ts).isNull()
-    level = F.when(unknown, F.lit(int(nulls == "first"))).otherwise(F.lit(int(nulls != "first")))
-    day = F.coalesce(F.datediff(F.col(ts), F.lit("1970-01-01").cast("date")), F.lit(0))
-    time = F.col(ts).cast("timestamp_ntz")
-    second = F.coalesce(F.hour(time) * 3600 + F.minute(time) * 60 + F.floor(F.second(time)), F.lit(0))
-    dated = df.withColumns({"_day": level * _LEVEL + day, "_second": second})
-    last_day, room = _cut(dated, "_day", F.lit(n))
-    part = dated.filter(F.col("_day") == last_day)
-    last_second, room = _cut(part, "_second", room)
-    order = Window.partitionBy("_day", "_second").orderBy(F.desc_nulls_last(ts), F.desc(tie))
-    numbered = part.filter(F.col("_second") == last_second).select(
-        F.col(ts).alias("_ts"), F.col(tie).alias("_tie"), F.row_number().over(order).alias("_number")
-    )
-    last = numbered.filter(F.col("_number") == room)
-    last_ts, last_tie = last.select("_ts").scalar(), last.select("_tie").scalar()
-    newer = (F.col(ts) > last_ts) | (F.col(ts).eqNullSafe(last_ts) & (F.col(tie) >= last_tie))
-    inside = (F.col("_second") > last_second) | ((F.col("_second") == last_second) & F.coalesce(newer, F.lit(False)))
-    kept = dated.filter(
-        last_day.isNull() | (F.col("_day") > last_day) | ((F.col("_day") == last_day) & inside)
-    )
-    return kept.select(*df.columns)
+    return first_rows(df, [By(ts, True, nulls == "first"), By(tie, True)], n)
 
 
 def drop_older(df: DataFrame, ts: str, cutoff) -> DataFrame:
@@ -110,8 +73,11 @@ def first_by_priority(df: DataFrame, group: Sequence[str], key: str, priorities:
     )
 
 
-def cap_new(df: DataFrame, order: Sequence[Column | str], budget: int, target: DataFrame | None = None) -> DataFrame:
-    """The first new rows in order, as many as ``budget`` leaves room for beside the rows of ``target``."""
-    stored = F.lit(0) if target is None else target.agg(F.count(F.lit(1)).alias("_rows")).scalar()
-    numbered = distributed_row_number(df, order, name="_number")
-    return numbered.filter(F.col("_number") <= F.lit(budget) - stored).drop("_number")
+def cap_new(df: DataFrame, order: Sequence[By | str], budget: int, target: DataFrame | None = None) -> DataFrame:
+    """The first new rows in order, as many as ``budget`` leaves room for beside the rows of ``target``.
+
+    ``order`` should end with a unique column.  Rows are selected by counting;
+    none is sorted or written.
+    """
+    stored = 0 if target is None else target.count()
+    return first_rows(df, [By(o) if isinstance(o, str) else o for o in order], budget - stored)
