@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import dates, geometry, keys, text, units
-from ..sources.web import html_links, html_table_rows, link_status
+from ..sources.web import html_links, html_table_rows, html_tables as table_rows, link_status
 from .registry import day_text, query, table, time_text
 
 
@@ -287,6 +287,39 @@ def page_links(spark, sf_dir):
     return links.groupBy("link").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("""
+WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS link FROM pages)
+SELECT page_id % 3 AS form, link, count(*) AS n FROM l GROUP BY 1, 2
+""")
+def page_links_in_all_forms(spark, sf_dir):
+    """Links in single or no quotes, after other attributes, beside some in comments and scripts."""
+    html, form = F.col("html"), F.col("page_id") % 3
+    single = F.regexp_replace(html, '<a href="([^"]*)"', "<A data-href=\"/no\" HREF = '$1' class=x")
+    bare = F.regexp_replace(html, '<a href="([^"]*)"', "<a\n  class='a > b' href=$1 rel=next")
+    hidden = F.lit("""<!-- <a href="/hidden"> --><script>var a = '<a href="/script">';</script><b data-href="/b">""")
+    written = F.concat(hidden, F.when(form == 1, single).when(form == 2, bare).otherwise(html))
+    pages = table(spark, sf_dir, "pages").select(form.alias("form"), written.alias("html"))
+    return html_links(pages, "html").groupBy("form", "link").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+WITH u AS (SELECT page_id, regexp_extract(html, '(?s)<ul>(.*?)</ul>', 1) AS list FROM pages WHERE html LIKE '%<ul>%'),
+r AS (SELECT page_id, unnest(regexp_extract_all(list, '(?s)<li>(.*?)</li>', 1)) AS cell,
+             unnest(range(1, len(regexp_extract_all(list, '(?s)<li>(.*?)</li>', 1)) + 1)) AS k FROM u)
+SELECT page_id, CAST(k AS INTEGER) AS row_no, regexp_replace(cell, '<[^>]*>', '', 'g') AS label, '<& in' AS more FROM r
+""")
+def html_tables(spark, sf_dir):
+    """Lists laid out as a table with an id, with open cells, entities and a table inside each row."""
+    html = F.col("html")
+    for old, new in {
+        "<ul>": "<table><tr><td>other</td></tr></table><!-- <table id=\"links\"> --><TABLE class=a ID='links'><tr><th>label<th>more",
+        "<li>": "<tr><td>", "</li>": "<td>&lt;&amp;<table id=links><tr><td>in</td></tr></table>", "</ul>": "</table>",
+    }.items():
+        html = F.replace(html, F.lit(old), F.lit(new))
+    rows = table_rows(table(spark, sf_dir, "pages").select("page_id", html.alias("html")), "html", "links", header_rows=1)
+    return rows.select("page_id", "row_no", F.get("cells", F.lit(0)).alias("label"), F.get("cells", F.lit(1)).alias("more"))
+
+
 @query("""
 WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS link FROM pages),
 c AS (SELECT page_id, count(DISTINCT link) AS n, min(link) AS link FROM l WHERE link LIKE '%ing' GROUP BY 1)

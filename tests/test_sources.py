@@ -113,6 +113,38 @@ def test_links_and_tables(spark, rows):
     assert rows(web.html_table_rows(df, "html", ["a", "b"], "t")) == [(1, 1, "1", "x\ny"), (1, 2, "2", None)]
 
 
+def test_links_in_all_forms_and_nested_tables(spark, rows):
+    html = (
+        "<A HREF='/1'>x</a><a\nclass=\"a href='/no'\" href = /2>y</a><a data-href=/no>z</a><a href=\"/3?a=1&amp;b=2\"/>"
+        "<!-- <a href='/no'> --><script>'<a href=\"/no\">'</script><a name=k></a><area href='/no'><a href=''>e</a>"
+        "<table id=t><thead><tr><th>h</table><TABLE ID=u><tr><td>1<td>a &lt; b &#233;<tr><td colspan=2>2"
+        "<table id=t><tr><td>in</td></tr></table>more</td></tr></TABLE><table><tr><td>open"
+    )
+    df = spark.createDataFrame([(1, html), (2, "<p>none</p>"), (3, None), (4, "<table id=u>")], "id int, html string")
+    assert [r[2] for r in rows(web.html_links(df, "html"))] == ["/1", "/2", "/3?a=1&b=2", ""]
+    assert rows(web.html_tables(df, "html", "u")) == [(1, 0, 0, ["1", "a < b é"]), (1, 0, 1, ["2 in more"])]
+    assert rows(web.html_tables(df, "html")) == [
+        (1, 0, 0, ["h"]), (1, 1, 0, ["1", "a < b é"]), (1, 1, 1, ["2 in more"]), (1, 2, 0, ["open"]),
+    ]
+    assert web.html_tables(df, "html", "none").count() == 0
+
+
+def test_pages_as_a_stream_go_on_where_they_stopped(spark, tmp_path, rows):
+    from freshet.streaming import streams
+
+    out, check, seen = str(tmp_path / "out"), str(tmp_path / "check"), []
+    landed = tmp_path / "in"
+    landed.mkdir()
+    for new in ({1: [{"id": 1, "n": {"a": 1}}], 3: [{"id": 9}]}, {}, {2: [], 4: [{"id": "x", "n": 5}, 7]}):
+        for number, records in new.items():
+            (landed / f"{number}.json").write_text(json.dumps({"meta": 0, "data": records}))
+        stream = paged.stream_pages(spark, str(landed), "id int, n string", "data", min_page=1)
+        streams.run_available(stream, out, check)
+        seen.append(rows(spark.read.schema(stream.schema).parquet(out)))
+    assert seen[0] == seen[1] == [(1, 0, 1, '{"a": 1}')]
+    assert seen[2] == [(1, 0, 1, '{"a": 1}'), (3, 0, 9, None), (4, 0, None, "5"), (4, 1, None, None)]
+
+
 def test_dated_files_and_dimensions(spark, tmp_path, rows):
     for name in ("v_20240102.bin", "v_20240301.bin", "other.bin"):
         (tmp_path / name).write_bytes(b"123")
