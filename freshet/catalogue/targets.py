@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..operators.retention import keep_newest, keep_versions
 from ..runtime import shared_dir
 from ..sinks import outputs
+from ..sinks.partitioned import PartitionedTarget, remove_versions
 from ..sinks.targets import Target, duplicates, patch_rows, upsert_rows
 from .registry import query, table
 
@@ -138,6 +139,40 @@ def partitions_upserted(spark, sf_dir):
     return spark.read.parquet(path).select("o_orderkey", F.col("o_orderstatus").alias("status"))
 
 
+@query("""
+WITH s AS (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year, CASE WHEN year(o_orderdate) = 2000 AND o_orderkey % 2 = 0 THEN 'patched'
+  WHEN year(o_orderdate) = 1999 THEN 'again' ELSE o_orderstatus END AS status FROM orders
+  WHERE year(o_orderdate) NOT IN (1995, 1996) AND NOT (year(o_orderdate) = 1997 AND o_custkey % 10 = 3)
+    AND NOT (year(o_orderdate) = 1998 AND o_orderkey % 4 = 1))
+SELECT year, o_orderkey, status FROM s ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 6000
+""")
+def partitioned_target(spark, sf_dir):
+    """Upsert, patch, delete by condition, id and source, and a row budget, each on the partitions it touches."""
+    orders = _orders(spark, sf_dir).withColumn("year", F.year("o_orderdate"))
+    target = PartitionedTarget(spark, shared_dir(spark, "partitioned"), orders.schema, "year", "o_orderkey")
+    target.append(orders.filter("year <> 1999"))
+    target.upsert(orders.filter("year = 1999").withColumn("o_orderstatus", F.lit("again")), moves=False)
+    target.patch_columns(orders.filter("year = 2000 AND o_orderkey % 2 = 0").withColumn("o_orderstatus", F.lit("patched")), ["o_orderstatus"])
+    target.delete_where(F.col("year") < 1997)
+    target.delete_ids(orders.filter("year = 1997 AND o_custkey % 10 = 3"))
+    target.delete_orphans(orders.filter("NOT (year = 1998 AND o_orderkey % 4 = 1)"))
+    target.keep_newest("o_orderdate", 6000, "o_orderkey")
+    return target.read().select("year", "o_orderkey", F.col("o_orderstatus").alias("status"))
+
+
+@query("""
+SELECT CAST(year(o_orderdate) AS VARCHAR) AS version, count(*) AS n FROM orders WHERE year(o_orderdate) IN (1995, 2000, 2001) GROUP BY 1
+""")
+def versions_removed(spark, sf_dir):
+    """Version folders but the newest two and an exempt one are deleted."""
+    orders = _orders(spark, sf_dir).withColumn("v", F.concat(F.lit("y"), F.year("o_orderdate").cast("string")))
+    path = shared_dir(spark, "versions")
+    orders.filter("v < 'y2001'").write.partitionBy("v").parquet(path)
+    outputs.write_version(orders.filter("v = 'y2001'").drop("v"), path, "y2001")
+    remove_versions(spark, path, 2, ["y1995"])
+    return spark.read.parquet(path).groupBy(F.substring("v", 2, 4).alias("version")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("""
 SELECT CAST(year(o_orderdate) AS VARCHAR) AS version, count(*) AS n FROM orders WHERE year(o_orderdate) IN (1995, 2000, 2001) GROUP BY 1
 """)

@@ -146,20 +146,19 @@ def _first_of(rows: DataFrame, by: By, rank: int) -> tuple[Column, Column, int,
             kept, segment = kept.filter(number == F.lit(value)), segment + 1
 
 
-def first_rows(df: DataFrame, order: Sequence[By], n: int) -> DataFrame:
-    """The first ``n`` rows in an order of columns, as a filter on ``df``.
+def first_condition(df: DataFrame, order: Sequence[By], n: int) -> Column | None:
+    """The condition that holds for the first ``n`` rows in an order of columns; none if there are no more than that.
 
     The order should end with a unique column: rows that no column tells apart
-    from the last one are all kept.  All rows are kept if there are no more than ``n``.  The
-    counting runs when this is called, with one aggregation per step: about four
-    for a time, one or two for numbers close to each other, and further columns are
-    only looked at where earlier ones tie.
+    from the last one all meet it.  The counting runs when this is called, with one
+    aggregation per step: about four for a time, one or two for numbers close to
+    each other, and further columns are only looked at where earlier ones tie.
     """
     if n <= 0:
-        return df.limit(0)
+        return F.lit(False)
     keys = df.select(*dict.fromkeys(b.name for b in order))
     if keys.count() <= n:
-        return df
+        return None
     kept, same, rank = F.lit(False), F.lit(True), n
     rows = keys
     for by in order:
@@ -168,4 +167,10 @@ def first_rows(df: DataFrame, order: Sequence[By], n: int) -> DataFrame:
         if rank == count:
             break
         rows = rows.filter(here)
-    return df.filter(F.coalesce(kept | same, F.lit(False)))
+    return F.coalesce(kept | same, F.lit(False))
+
+
+def first_rows(df: DataFrame, order: Sequence[By], n: int) -> DataFrame:
+    """The first ``n`` rows in an order of columns, as a filter on ``df``, see :func:`first_condition`."""
+    condition = first_condition(df, order, n)
+    return df if condition is None else df.filter(condition)

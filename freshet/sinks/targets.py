@@ -3,12 +3,14 @@
 Every change is written beside the live data and becomes visible when Spark's
 ``_SUCCESS`` marker of the finished write is there, so a job that dies leaves
 the old rows in place.  A full rewrite starts a new generation; an append adds
-a part to the current one and costs only its own rows.
+a part to the current one and costs only its own rows.  Generations before the
+last one are removed.  Tables too large to rewrite are partitioned, see
+:mod:`freshet.sinks.partitioned`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from pyspark.sql import types as T
 from ..operators.aggregates import pick_by
 from ..operators.retention import keep_newest
 from ..runtime import durable
+from .partitioned import remove_folder
 
 
 def _children(spark: SparkSession, path: str, prefix: str) -> list[int]:
@@ -80,6 +83,8 @@ class Target:
         generations = _children(self.spark, self.path, "full")
         number = generations[-1] + 1 if generations else 1
         self._conform(df).write.parquet(f"{self.path}/full={number}/part=0")
+        for old in generations[:-1]:  # the last one may still be read
+            remove_folder(self.spark, f"{self.path}/full={old}")
 
     def append(self, df: DataFrame) -> None:
         generation, parts = self._live()
@@ -123,12 +128,13 @@ class Target:
         first = pick_by(df, [self.id_col], order, "first")
         self.append(first.join(self.ids(), self.id_col, "left_anti"))
 
-    def upsert(self, df: DataFrame, keys: Sequence[str] | None = None) -> None:
-        """Replace rows with the same key and add the others."""
+    def upsert(self, df: DataFrame, keys: Sequence[str] | None = None, keep: Callable[[DataFrame], DataFrame] | None = None) -> None:
+        """Replace rows with the same key and add the others; ``keep`` trims the result in the same rewrite."""
         keys = list(keys or [self.id_col])
         fresh = durable(self._conform(df), "upsert")
         kept = self.read().join(fresh.select(*keys), keys, "left_anti")
-        self._rewrite(self._conform(kept).unionByName(fresh))
+        merged = self._conform(kept).unionByName(fresh)
+        self._rewrite(keep(merged) if keep else merged)
 
     def patch_columns(self, df: DataFrame, cols: Sequence[str], last_n: int | None = None, order: str | None = None) -> None:
         """:func:`patch_rows` on the rows of the target."""

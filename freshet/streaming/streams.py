@@ -98,9 +98,7 @@ def upsert_stream(stream: DataFrame, target: Target, keys: Sequence[str], checkp
     """
 
     def load(batch: DataFrame, _: int) -> None:
-        target.upsert(prepare(batch) if prepare else batch, keys)
-        if keep:
-            target.trim(keep)
+        target.upsert(prepare(batch) if prepare else batch, keys, keep)
 
     (
         stream.writeStream.foreachBatch(load)
