@@ -16,7 +16,9 @@ table alone; pieces then find their places by arithmetic on their numbers.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator, Sequence
 
@@ -38,42 +40,83 @@ GROUPS = 96
 #: Pivots of the configuration problem; the solution is valid after any number.
 PIVOTS = 4000
 #: Bytes of a text that are split into words at a time, and of the words kept with their ids in a worker.
-CHUNK_BYTES, KEPT_BYTES, LONGEST_KEPT = 1_000_000, 64_000_000, 64
+CHUNK_BYTES, KEPT_BYTES, LONGEST_KEPT = 1_000_000, 80_000_000, 64
 
-_workers: dict[str, "_Words"] = {}
+_workers: dict = {}
 
 
-class _Words:
-    """Ids of words by a tokenizer that never joins letters across white space."""
+#: The splitting of tokenizers that lower-case and never join letters with anything else.
+LETTERS_APART = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
+APART_STEPS = ["NFC", "Replace", "Lowercase"]
+LATIN = re.compile("[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
+#: Byte-level vocabularies write bytes without a visible Latin-1 character as the characters from 256 on.
+BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
 
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+class _Words(dict):
+    """Ids of words, worked out when first asked for; of older words those asked for again are kept.
+
+    A word of Latin letters is one piece for the tokenizer's model, which is given its
+    bytes as the characters that stand for them; a point or comma after a letter is
+    a piece of its own; other words go through the whole tokenizer.
+    """
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.older: dict[bytes, bytes] = {}
         self.bytes = 0
 
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+    def _encode(self, word: bytes) -> bytes:
+        if word[-1:] in (b".", b",") and word[-2:-1].isalpha():
+            return self[word[:-1]] + self[word[-1:]]
+        if word.isalpha():  # of bytes: ASCII letters only
+            ids = [t.id for t in self.model.tokenize(word.lower().decode())]
+        elif LATIN.fullmatch(text := word.decode()):
+            ids = [t.id for t in self.model.tokenize(text.lower().encode().decode("latin-1").translate(BYTE_CHARACTERS))]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self._encode(word)
+        if len(word) <= LONGEST_KEPT:
+            if self.bytes > KEPT_BYTES:
+                self.older = dict(self)
+                self.clear()
+                self.bytes = 0
+            self[word] = ids
+            self.bytes += len(word) + len(ids) + 150
+        return ids
+
+    def ids(self, text: bytes) -> bytes:
+        return b"".join(b"".join(map(self.__getitem__, words)) for words in _word_lists(text))
+
+
+class _Whole:
+    """Ids of whole texts, for any tokenizer."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
 
     def ids(self, text: bytes) -> bytes:
-        out = []
-        for words in _word_lists(text):
-            missing = list({w for w in words if w not in self.known})
-            if missing:
-                if self.bytes > KEPT_BYTES:
-                    self.known, self.bytes = {}, 0
-                    missing = list(set(words))
-                self.known.update(zip(missing, self._encode(missing), strict=True))
-                self.bytes += sum(map(len, missing)) + 100 * len(missing)
-            out.append(b"".join(map(self.known.__getitem__, words)))
-            for word in missing:
-                if len(word) > LONGEST_KEPT:
-                    self.bytes -= len(word)
-                    del self.known[word]
-        return b"".join(out)
+        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def _worker(path: str) -> _Words | _Whole:
+    """The encoder of a tokenizer file, kept for the next task of the process."""
+    if path not in _workers:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        config = json.loads(tokenizer.to_str())
+        steps = [x["type"] for x in (config["normalizer"] or {}).get("normalizers", [])]
+        splits = [x.get("pattern") for x in (config["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        apart = steps == APART_STEPS and splits[:1] == [{"Regex": LETTERS_APART}] and len(splits) == 2 and config["model"]["type"] == "BPE"
+        _workers[path] = _Words(tokenizer) if apart else _Whole(tokenizer)
+    return _workers[path]
 
 
 def _word_lists(text: bytes) -> Iterator[list[bytes]]:
@@ -95,8 +138,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, te
     whole text, without added tokens, and then ``end_id``; a null text is an empty
     one.  Only a longer document is cut, into pieces of ``capacity`` ids, of which
     the last may be shorter.  ``ids`` holds them as little-endian 32-bit numbers.
-    Words between ASCII white space are encoded on their own and remembered, so
-    the tokenizer must not join across white space (checked on the first words).
+    A tokenizer that by its configuration never joins letters with anything else
+    (:data:`LETTERS_APART`) encodes words between ASCII white space on their own and
+    remembers them; any other one encodes each text as a whole.
     Rows are independent: repeated and null ids are rows like all others, and an
     empty table gives no rows.  Columns named like the new ones are refused.
     """
@@ -111,12 +155,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, te
     last = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer not in _workers:
-            _workers[tokenizer] = _Words(tokenizer)
-            whole = _workers[tokenizer].tokenizer.encode("don't  Stop\n12 -- é", add_special_tokens=False).ids
-            if np.frombuffer(_workers[tokenizer].ids("don't  Stop\n12 -- é".encode()), "<u4").tolist() != whole:
-                raise ValueError("this tokenizer does not treat words apart")
-        words = _workers[tokenizer]
+        words = _worker(tokenizer)
         for batch in batches:
             for a, b in slices(batch.column("text")):
                 part = batch.slice(a, b - a)

@@ -168,13 +168,16 @@ def test_op12(spark, small_dir, small_rows):
     assert len(held) <= math.ceil(sum(r.length for r in got) / 4096) + 2
 
 
-def test_ids_are_those_of_the_whole_text(spark, docs):
+@pytest.mark.parametrize("file", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_are_those_of_the_whole_text(spark, docs, file):
+    path = public_tokenizers.path(file)
     rng = random.Random(4)
-    alphabet = list("aZ9é'.ſΣσŉ漢🙂<|>_-") + [" ", "\n", "\t", "\x0b", "\x0c", "\r", "\x1c", " ", "́", " ", "'s", "<|endoftext|>"]
+    alphabet = list("aZ9é'.ſΣσŉ漢🙂<|>_-") + [" ", "\n", "\t", "\x0b", "\x0c", "\r", "\x1c", " ", "́", " ", "'s", "<|endoftext|>", ".", ",", "b", "T"]
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(80))) for _ in range(400)]
+    texts += ["".join(map(chr, range(0xC0, 0x100))), "Çà ÉTÉ naïve, Größe. ÀÀ", "".join(rng.choice("ÀÉßÿñÑaZ×÷") for _ in range(300))]
     texts += [None, "", "x" * 3000, ("ab " * 9000), " " * 5000]
-    tokenizer = Tokenizer.from_file(TOKENIZER)
-    got = packing.token_pieces(docs(*enumerate(texts)), TOKENIZER, 50, 1).orderBy("doc_id", "piece").collect()
+    tokenizer = Tokenizer.from_file(path)
+    got = packing.token_pieces(docs(*enumerate(texts)), path, 50, 1).orderBy("doc_id", "piece").collect()
     ids = {}
     for r in got:
         part = np.frombuffer(r.ids, "<u4").tolist()
@@ -189,7 +192,7 @@ def test_long_texts_are_split_between_words(monkeypatch):
     monkeypatch.setattr(packing, "CHUNK_BYTES", 7)
     assert [w for words in packing._word_lists(text) for w in words] == whole == text.split()
     monkeypatch.setattr(packing, "KEPT_BYTES", 300)
-    words = packing._Words(TOKENIZER)
+    words = packing._Words(Tokenizer.from_file(TOKENIZER))
     ids = np.frombuffer(words.ids(text), "<u4").tolist()
     assert ids == words.tokenizer.encode(text.decode(), add_special_tokens=False).ids
 
