@@ -70,9 +70,10 @@ def masks(item: str) -> dict[str, int]:
 class Matcher:
     """All items of one block: an automaton of their pieces, and what verification needs."""
 
-    def __init__(self, items: list[tuple[int, str]], error: float):
+    def __init__(self, items: list[tuple[int | None, str]], error: float, min_chars: int = 0):
         self.items = items
-        self.errors = [int(len(t) * error) for _, t in items]
+        self.errors = [0 if len(t) < min_chars else int(len(t) * error) for _, t in items]
+        self.short = [len(t) < min_chars for _, t in items]
         self.bits: dict[int, tuple[dict[str, int], dict[str, int]]] = {}
         wanted: dict[str, list[tuple[int, int]]] = {}
         for i, (_, item) in enumerate(items):
@@ -84,14 +85,20 @@ class Matcher:
         if wanted:
             self.automaton.make_automaton()
 
-    def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
+    def find(self, text: str | None) -> list[tuple[int | None, int, int, int]]:
         """(item id, distance, start, end) of the best place of each item in the normalised text."""
         text = normal(text)
         if not text or not len(self.automaton):
             return []
         windows: dict[int, list[list[int]]] = {}
+        exact: dict[int, tuple[int | None, int, int, int]] = {}
         for last, (size, owners) in self.automaton.iter(text):
             for i, at in owners:
+                if self.short[i]:
+                    start = last + 1 - size
+                    if i not in exact and not text[max(0, start - 1) : start].isalnum() and not text[last + 1 : last + 2].isalnum():
+                        exact[i] = (self.items[i][0], 0, start, last + 1)
+                    continue
                 k, n = self.errors[i], len(self.items[i][1])
                 start = last + 1 - size - at
                 low, high = max(0, start - k), min(len(text), start + n + k)
@@ -100,7 +107,7 @@ class Matcher:
                     open_[-1][0], open_[-1][1] = min(low, open_[-1][0]), max(high, open_[-1][1])
                 else:
                     open_.append([low, high])
-        return [hit for i, open_ in windows.items() if (hit := self._best(i, text, open_))]
+        return [*exact.values(), *(hit for i, open_ in windows.items() if (hit := self._best(i, text, open_)))]
 
     def _best(self, i: int, text: str, windows: list[list[int]]) -> tuple[int, int, int, int] | None:
         item_id, item = self.items[i]
@@ -124,7 +131,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, error: float = ERROR, min_char
     count characters of that form.  An item is held if some part of the text
     differs from it by at most ``error`` times its length in edits; the row
     tells the closest place, the first of several.  Items shorter than
-    ``min_chars`` are not looked for, since a text may hold them by chance.
+    ``min_chars`` are held only where they stand unchanged between characters
+    that are no letters or digits.  Items without an id are looked for like others and
+    reported with a null id; those without any character are held by nothing.
 
     Items go to the tasks in blocks of at most about :data:`BLOCK_CHARS`
     characters, one pass over the documents per block, so neither driver nor
@@ -146,22 +155,23 @@ def drop_leaks(docs: DataFrame, items: DataFrame, error: float = ERROR, min_char
 
 def _blocks(items: DataFrame, error: float, min_chars: int) -> Iterator[Column]:
     """For each block of items, the matches in ``text`` as an array of structs."""
-    items = items.filter("item_id is not null and text is not null").select("item_id", "text")
+    items = items.filter("text is not null").select("item_id", "text")
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = int(chars // BLOCK_CHARS) + 1
     numbered = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
     for b in range(blocks):
         part = [(r.item_id, normal(r.text)) for r in numbered.filter(F.col("block") == b).collect()]
-        yield _matches(sorted(x for x in part if len(x[1]) >= min_chars), error)(F.col("text"))
+        part = sorted((x for x in part if x[1]), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+        yield _matches(part, error, min_chars)(F.col("text"))
 
 
-def _matches(items: list[tuple[int, str]], error: float):
+def _matches(items: list[tuple[int | None, str]], error: float, min_chars: int):
     """A column function that looks for the items of one block; the automaton is built once per task."""
     kind = pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
     names = ("item_id", "distance", "start", "end")
 
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        matcher = Matcher(items, error)
+        matcher = Matcher(items, error, min_chars)
         for batch in texts:
             yield pa.array([
                 [dict(zip(names, hit, strict=True)) for hit in matcher.find(text.as_py())] for text in batch
