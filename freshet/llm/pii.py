@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,21 @@ def mod97(code: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def account_codes(text: str) -> Iterator[tuple[int, int]]:
+    """Places of bank account codes that pass their check; words after a code may look like its last groups."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        code, at = m.group(), m.start() + 2
+        while code:
+            if mod97(code.replace(" ", "")):
+                at = m.start() + len(code)
+                yield m.start(), at
+                break
+            code = code.rpartition(" ")[0]
+            if not _IBAN.fullmatch(code):
+                break
+
+
 def _context(text: str, start: int, end: int, kind: str) -> float:
     around = text[max(0, start - CONTEXT_CHARS) : start].lower() + " " + text[end : end + CONTEXT_CHARS].lower()
     return 0.3 if kind in _NEAR and _NEAR[kind].search(around) else 0.0
@@ -127,9 +143,8 @@ def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     with words of its kind nearby, and a candidate must not touch a base span.
     """
     found = []
-    for m in _IBAN.finditer(text):
-        if mod97(m.group().replace(" ", "")):
-            found.append((m.start(), "iban", m.end(), 0.6 + _context(text, m.start(), m.end(), "iban")))
+    for start, end in account_codes(text):
+        found.append((start, "iban", end, 0.6 + _context(text, start, end, "iban")))
     for m in _SSN.finditer(text):
         found.append((m.start(), "ssn", m.end(), 0.3 + _context(text, m.start(), m.end(), "ssn")))
     for m in _LOCAL_PHONE.finditer(text):
