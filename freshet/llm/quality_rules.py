@@ -23,29 +23,29 @@ def word_list(text: Column) -> Column:
 
 
 def repeated_words(words: Column) -> Column:
-    """How many words stand in a 3-word window that the text has twice or more."""
-    no = F.array(F.lit(False))
+    """How many words stand in a 3-word window that the text has twice or more.
+
+    Windows are sorted by hash, those with an equal neighbour are put back in
+    order of place, and each adds the words that the next one does not cover.
+    """
 
     def windows(w: Column) -> Column:
         each = F.transform(w, lambda x: F.xxhash64(x))
         two = lambda h: F.zip_with(h, F.slice(h, 2, F.size(h)), lambda a, b: F.xxhash64(a, b))
         three = let(each, lambda h: F.zip_with(two(h), F.slice(h, 3, F.size(h)), lambda a, b: F.xxhash64(a, b)))
-        return F.slice(three, 1, F.size(w) - 2)
+        placed = F.transform(F.slice(three, 1, F.size(w) - 2), lambda x, i: F.struct(x.alias("h"), i.alias("i")))
+        return F.sort_array(placed)
 
-    def covered(h: Column, twice: Column) -> Column:
-        hit = F.transform(h, lambda x: F.array_contains(twice, x))
-        either = lambda a, b: F.zip_with(a, b, lambda x, y: x | y)
-        return let(hit, lambda f: F.size(F.filter(
-            either(either(F.concat(f, no, no), F.concat(no, f, no)), F.concat(no, no, f)), lambda x: x
-        )))
+    def places(s: Column) -> Column:
+        near = lambda p, k: F.coalesce(F.get(s, k)["h"] == p["h"], F.lit(False))
+        return F.sort_array(F.transform(F.filter(s, lambda p, k: near(p, k - 1) | near(p, k + 1)), lambda p: p["i"]))
 
-    def count(h: Column) -> Column:
-        twice = let(F.sort_array(h), lambda s: F.array_distinct(
-            F.filter(s, lambda x, i: (i > 0) & (F.get(s, i - 1) == x))
-        ))
-        return let(twice, lambda t: F.when(F.size(t) == 0, F.lit(0)).otherwise(covered(h, t)))
+    def covered(p: Column) -> Column:
+        steps = F.zip_with(p, F.slice(p, 2, F.size(p)), lambda a, b: F.coalesce(F.least(b - a, F.lit(3)), F.lit(3)))
+        return F.aggregate(steps, F.lit(0), lambda total, n: total + n)
 
-    return F.when(F.size(words) < 3, F.lit(0)).otherwise(let(windows(words), count))
+    count = let(let(windows(words), places), covered)
+    return F.when(F.size(words) < 3, F.lit(0)).otherwise(count)
 
 
 def text_counts(docs: DataFrame) -> DataFrame:
@@ -84,13 +84,15 @@ def apply_rules(
     max_repeat_percent: int = 50,
     min_documents: int = 10,
     max_share: float = 0.005,
+    max_documents: int = 10_000,
     min_left: float = 0.25,
 ) -> DataFrame:
     """The counts of each document, and whether it is kept.
 
     A line, in lower case with single spaces, is frequent on its host (the
-    source) if more than ``min_documents`` different texts and more than
-    ``max_share`` of the host's different texts have it.  Frequent lines are
+    source) if more than ``min_documents`` different texts have it, and these are
+    more than ``max_share`` of the host's different texts or more than
+    ``max_documents``, whatever the size of the host.  Frequent lines are
     removed; a document of which less than ``min_left`` of the words is left is
     depleted.  Copies of a text count as one document, so a text is not removed
     for having been copied.  Columns: doc_id, source, the counts of
@@ -110,7 +112,8 @@ def apply_rules(
         .groupBy("_host", "line").agg(F.count(F.lit(1)).alias("_having"))
         .filter(F.col("_having") > min_documents)
     )
-    frequent = found.join(hosts, "_host").filter(F.col("_having") > max_share * F.col("_texts")).select("_host", "line")
+    limit = F.least(max_share * F.col("_texts"), F.lit(max_documents))
+    frequent = found.join(hosts, "_host").filter(F.col("_having") > limit).select("_host", "line")
     removed = (
         rows.select("_row", "_host", F.inline("_lines"))
         .groupBy("_row", "_host", "line").agg(F.sum("words").alias("words"))
