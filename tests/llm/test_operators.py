@@ -1,11 +1,13 @@
 """Each operator on small hand-made tables: nulls, empty and long texts, ties, repeats, clashing names."""
 
 import random
+import re
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from freshet.llm import (
     decontaminate,
@@ -216,7 +218,9 @@ def test_leaks_with_edits(spark, docs):
     for i, text in rows:
         for k, item in items:
             item, whole = decontaminate.normal(item), decontaminate.normal(text)
-            if len(item) >= decontaminate.MIN_CHARS and whole:
+            if item and len(item) < decontaminate.MIN_CHARS and re.search(rf"(?<!\w){re.escape(item)}(?!\w)", whole):
+                want[i, k, 0] += 1
+            elif len(item) >= decontaminate.MIN_CHARS and whole:
                 d = plain.edit_distance_inside(item, whole)
                 if d <= int(len(item) * decontaminate.ERROR):
                     want[i, k, d] += 1
@@ -227,6 +231,38 @@ def test_leaks_with_edits(spark, docs):
     assert decontaminate.find_leaks(docs(*rows), table.limit(0)).count() == 0
 
 
+def test_short_items_and_items_without_an_id(spark, docs):
+    items = spark.createDataFrame([(1, "Short one"), (None, "no id here"), (2, "a b"), (3, " "), (None, None)], "item_id bigint, text string")
+    rows = [(1, "a SHORT  one."), (2, "shorts one"), (3, "xa bx a  B"), (4, "no id here, a b"), (5, None), (6, "short onerous")]
+    found = sorted(((r.doc_id, r.item_id or 0, r.distance, r.start) for r in decontaminate.find_leaks(docs(*rows), items).collect()))
+    assert found == [(1, 1, 0, 2), (3, 2, 0, 6), (4, 0, 0, 0), (4, 2, 0, 12)]
+    assert sorted(r.doc_id for r in decontaminate.drop_leaks(docs(*rows), items).collect()) == [2, 5, 6]
+
+
+def test_account_codes_before_other_words():
+    for text, want in {
+        "BE68 5390 0754 7034 EUR": [19], "BE68 5390 0754 7034 BIC1 now": [19], "BE68539007547034": [16], "BE68 5390 0754 7035 EUR": [],
+        "BE68 5390 0754 7034 DE89 3704 0044 0532 0130 00": [19, 47], "x BE68 5390 0754 7034ab": [],
+    }.items():
+        assert [end for _, end in pii.account_codes(text)] == want, text
+
+
+def test_repeated_words_agree_with_windows(spark):
+    rng = random.Random(2)
+    texts = ["", "a", "a b", "a a a a", "a b c a b c", "a b c d"] + [" ".join(rng.choice("abc") for _ in range(rng.randrange(40))) for _ in range(60)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(quality_rules.repeated_words(quality_rules.word_list(F.col("t"))).alias("n")).collect()
+    assert [r.n for r in got] == [plain.rules(t)[-1] for t in texts]
+
+
+def test_boilerplate_of_a_large_host(spark, docs):
+    words = lambda i: " ".join(f"w{i}x{j}" for j in range(20))
+    line = " ".join(f"legal{j}" for j in range(60))
+    rows = [(i, f"{line}\n{words(i)}" if i < 30 else f"{words(i)}\n" + " ".join(f"v{i}x{j}" for j in range(60)), "big") for i in range(400)]
+    kept = lambda **limits: {r.doc_id for r in quality_rules.apply_rules(docs(*rows), max_share=0.5, **limits).collect() if not r.kept}
+    assert kept() == set() and kept(min_left=0.3, max_documents=29) == set(range(30)) and kept(min_left=0.3, max_documents=30) == set()
+
+
 def test_many_blocks_of_items_give_the_same(spark, docs, monkeypatch):
     items = spark.createDataFrame([(i, text_of(random.Random(i), 9)) for i in range(9)], "item_id bigint, text string")
     held = docs(*[(i, "x " + text_of(random.Random(i), 9) + " y") for i in range(5)])
@@ -380,11 +416,20 @@ def test_lines_keep_one_of_each_group(docs):
     for r in found:
         texts.setdefault(r.doc_id, []).append(r.text)
     assert texts[1] == [f"{line.upper()}\nshort"] and texts[2] == [""] and texts[None] == [""]
-    assert texts[3] == ["\n".join(rows[0][1].split("\n")[1:])] and texts[4] == [None] and texts[5] == [""]
+    assert texts[3] == ["\n".join(rows[0][1].split("\n")[2:])] and texts[4] == [None] and texts[5] == [""]
     assert sorted(texts[6]) == sorted([rows[6][1].split("\n")[1], rows[7][1]])
     assert line_dedup.dedup_lines(docs()).count() == 0
 
 
+def test_short_lines_go_by_equality_alone(docs):
+    rows = [(1, "ok\n}\n漢字\nyes"), (2, "}\nOK\n漢字 \n\nyet"), (3, "}\n}")]
+    table = docs(*rows).selectExpr("*", "1 AS _drop", "2 AS _out", "3 AS _out_")
+    for least in (0, 3, 20):
+        found = {r.doc_id: r for r in line_dedup.dedup_lines(table, min_chars=least).collect()}
+        assert [found[i].text for i in (1, 2, 3)] == [rows[0][1], "\nyet", ""] and [found[i].n_lines for i in (1, 2, 3)] == [4, 4, 2]
+        assert (found[1]._drop, found[1]._out, found[1]._out_) == (1, 2, 3)
+
+
 @pytest.mark.parametrize("block", [1024, 40])
 def test_lines_of_a_hot_band_agree_with_brute_force(spark, docs, monkeypatch, block):
     monkeypatch.setattr(line_dedup, "BLOCK_LINES", block)
