@@ -29,6 +29,8 @@ from ..operators.aggregates import (
 )
 from ..operators.clean import with_defaults
 from ..operators.windows import latest_per
+from ..operators.joins import new_rows
+from ..operators.retention import keep_newest
 from .registry import day_text, query, table, time_text
 
 TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -302,6 +304,22 @@ def counts_of_a_run(spark, sf_dir):
     return run_metrics(stored, incoming, "event_id")
 
 
+@query("""
+SELECT (SELECT count(*) FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-15') AS existing_rows,
+       count(*) FILTER (CAST(ts AS DATE) > DATE '2024-01-15') AS new_rows,
+       count(*) FILTER (CAST(ts AS DATE) <= DATE '2024-01-15' AND CAST(ts AS DATE) >= DATE '2024-01-10') AS known_rows,
+       greatest(count(*) - 300, 0) AS dropped_rows
+FROM events
+""")
+def counts_with_dropped(spark, sf_dir):
+    """The same run with a row budget at its end."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", F.to_date("ts").alias("day"))
+    stored = events.filter(F.col("day") <= F.lit("2024-01-15").cast("date"))
+    incoming = events.filter(F.col("day") >= F.lit("2024-01-10").cast("date"))
+    after = keep_newest(stored.unionByName(new_rows(incoming, stored, "event_id")), "ts", 300, "event_id")
+    return run_metrics(stored, incoming, "event_id", after)
+
+
 @query("SELECT DISTINCT p_type FROM part")
 def names_in_order(spark, sf_dir):
     return unique_sorted(table(spark, sf_dir, "part"), "p_type")

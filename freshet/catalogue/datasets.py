@@ -53,7 +53,8 @@ def daily_air_quality_grids(spark, sf_dir):
 
 @query("""
 WITH d AS (SELECT o_custkey AS node, CAST(o_orderdate AS DATE) AS day, avg(floor(o_totalprice)) FILTER (o_orderstatus <> 'P') AS pml,
-                  avg(floor(o_totalprice)) FILTER (o_orderstatus = 'P') AS losses FROM orders GROUP BY 1, 2),
+                  avg(floor(o_totalprice)) FILTER (o_orderstatus = 'P') AS losses FROM orders
+      WHERE CAST(o_orderdate AS DATE) IN (DATE '1998-10-03', DATE '1998-09-26', DATE '1998-09-05', DATE '1997-10-04') GROUP BY 1, 2),
 w AS (SELECT *, pml / nullif(lag(pml) OVER (PARTITION BY node ORDER BY day), 0) - 1 AS change,
              round(avg(pml) OVER (PARTITION BY day), 6) AS syst FROM d)
 SELECT node, c_name AS name, pml, losses, change, syst FROM w JOIN customer ON c_custkey = node WHERE day = DATE '1998-10-03'

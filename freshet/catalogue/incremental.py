@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions.units import exact_sum, fixed
 from ..operators import monitor
 from ..operators.windows import latest_per
+from ..sinks.known_ids import KnownIds, insert_new_filtered
 from ..sinks.targets import Target, upsert_rows
 from ..runtime import durable, shared_dir
 from ..streaming import incremental as inc
@@ -31,6 +32,19 @@ def insert_new_ids(spark, sf_dir):
     return inc.insert_if_new(twice, stored, "event_id", ["ts"]).select("event_id", "user_id")
 
 
+@query("""
+SELECT event_id, user_id FROM events WHERE ts >= TIMESTAMP '2024-01-15'
+""")
+def insert_new_ids_filtered(spark, sf_dir):
+    """The same, with filters of the stored ids, one for each of two parts."""
+    stored, feed = _halves(spark, sf_dir)
+    known = KnownIds(spark, shared_dir(spark, "known"), "event_id", stored.count())
+    known.add(stored.filter("event_type = 'view'"), "view")
+    known.add(stored.filter("event_type <> 'view'"), "other")
+    twice = feed.unionByName(feed.filter("event_id % 2 = 0"))
+    return insert_new_filtered(twice, stored, known, ["ts"]).select("event_id", "user_id")
+
+
 @query("""
 WITH m AS (SELECT user_id, max(ts) AS high FROM events WHERE ts < TIMESTAMP '2024-01-15' AND event_type = 'view' GROUP BY 1)
 SELECT event_id FROM events e LEFT JOIN m ON e.user_id = m.user_id

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators.retention import keep_newest, keep_versions
 from ..runtime import shared_dir
-from ..sinks import outputs
+from ..sinks import outputs, targets
 from ..sinks.partitioned import PartitionedTarget, remove_versions
 from ..sinks.targets import Target, duplicates, patch_rows, upsert_rows
 from .registry import query, table
@@ -192,3 +192,35 @@ SELECT l_orderkey AS id, count(*) AS n_rows FROM lineitem WHERE l_linenumber = 1
 def duplicate_ids(spark, sf_dir):
     first = table(spark, sf_dir, "lineitem").filter("l_linenumber = 1").select(F.col("l_orderkey").alias("id"))
     return duplicates(first, "id")
+
+
+@query("""
+SELECT 'appended' AS step, count(*) AS n, TRUE AS listed FROM region
+UNION ALL SELECT 'replaced', count(*), TRUE FROM nation
+UNION ALL SELECT 'truncated', 0, TRUE
+UNION ALL SELECT 'dropped', NULL, FALSE
+""")
+def table_housekeeping(spark, sf_dir):
+    """A catalogue table created, appended to, replaced, truncated and dropped; rows and listing after each step."""
+    region, nation = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
+    base = shared_dir(spark, "housekeeping")
+    space = "housekeeping_" + base[-12:]
+    spark.sql(f"CREATE DATABASE {space} LOCATION '{base}'")
+    name, steps = f"{space}.areas", []
+
+    def note(step):
+        there = targets.table_exists(spark, name)
+        listed = "areas" in [t.name for t in spark.catalog.listTables(space)]
+        steps.append((step, spark.table(name).count() if there else None, there and listed))
+
+    targets.ensure_table(spark, name, region.schema, "r_regionkey")
+    targets.append_table(region, name)
+    note("appended")
+    targets.replace_table(nation, name)
+    note("replaced")
+    targets.truncate_table(spark, name)
+    note("truncated")
+    targets.drop_table(spark, name)
+    note("dropped")
+    spark.sql(f"DROP DATABASE {space} CASCADE")
+    return spark.createDataFrame(steps, "step string, n bigint, listed boolean")

@@ -251,15 +251,22 @@ def assert_uniform(df: DataFrame, cols: Sequence[str]) -> None:
         raise ValueError(f"more than one value in {', '.join(mixed)}")
 
 
-def run_metrics(before: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """One row with the number of existing, new and already known rows of a run."""
+def run_metrics(before: DataFrame, incoming: DataFrame, key: str, after: DataFrame | None = None) -> DataFrame:
+    """One row with the number of existing, new and already known rows of a run.
+
+    With ``after``, the rows that the run left, also how many it dropped.
+    """
     known = before.select(key).distinct().withColumn("_known", F.lit(True))
     counts = join_per_key(incoming, known, [key]).agg(
         F.count_if(F.col("_known").isNull()).alias("new_rows"),
         F.count_if(F.col("_known").isNotNull()).alias("known_rows"),
     )
     existing = before.select(F.count(F.lit(1))).scalar()
-    return counts.select(existing.alias("existing_rows"), "new_rows", "known_rows")
+    out = counts.select(existing.alias("existing_rows"), "new_rows", "known_rows")
+    if after is None:
+        return out
+    left = after.select(F.count(F.lit(1))).scalar()
+    return out.withColumn("dropped_rows", F.col("existing_rows") + F.col("new_rows") - left)
 
 
 def unique_sorted(df: DataFrame, col: str) -> DataFrame:

@@ -53,13 +53,35 @@ def left_join(df: DataFrame, dim: DataFrame, keys, null_safe: bool = False) -> D
 
 
 def right_join(df: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All members of ``dim``, with the rows of ``df`` where there are any."""
-    return df.join(dim, list(keys), "right")
+    """All members of ``dim``, with the rows of ``df`` where there are any.
+
+    Members with rows are an inner join, of which Spark can split a hot key on
+    either side; those without are added.
+    """
+    keys = list(keys)
+    found = df.join(dim, keys)
+    without = dim.join(df.select(*keys).distinct(), keys, "left_anti")
+    return found.unionByName(without, allowMissingColumns=True)
 
 
 def outer_join_measures(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Measures of several frames side by side on their common keys."""
-    return reduce(lambda a, b: a.join(b, list(keys), "outer"), frames)
+    """Measures of several frames side by side on their common keys.
+
+    Each frame has one row per key, and names of its own for its measures; equal
+    keys meet, also where a part is null.  The frames are stacked and aggregated
+    once, so there is one shuffle however many they are.
+    """
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    measures = [c for f in frames for c in f.columns if c not in keys]
+    return stacked.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in measures])
+
+
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key, the smallest by the other columns, whatever order the rows came in."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    return df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 
 def semi_join(df: DataFrame, keys_df: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -78,16 +100,16 @@ def new_rows(df: DataFrame, target: DataFrame, key: str | Sequence[str]) -> Data
 def lookup(
     df: DataFrame, dim: DataFrame, key: str, dim_key: str, value: str, on_miss: str = "null"
 ) -> DataFrame:
-    """Add ``value`` of the dimension; misses give null or drop the row."""
+    """Add ``value`` of the dimension, the smallest where a key has several; misses give null or drop the row."""
     how = {"null": "left", "drop": "inner"}[on_miss]
-    found = dim.select(F.col(dim_key).alias(key), value).dropDuplicates([key])
+    found = dim.select(F.col(dim_key).alias(key), value).groupBy(key).agg(F.min(value).alias(value))
     return join_per_key(df, found, [key], how).select(*df.columns, value)
 
 
 def grow_dimension(facts: DataFrame, dim: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """The dimension plus the members of ``source`` that facts mention and it lacks."""
+    """The dimension plus the members of ``source`` that facts mention and it lacks, see :func:`one_per_key`."""
     unseen = facts.select(key).distinct().join(dim.select(key), key, "left_anti")
-    added = source.dropDuplicates([key]).join(unseen, key, "left_semi")
+    added = one_per_key(source.join(unseen, key, "left_semi"), [key])
     return dim.unionByName(added, allowMissingColumns=True)
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.joins import one_per_key
+
 
 def scan_splits(df: DataFrame, n: int, *keys: str) -> DataFrame:
     """The same rows in ``n`` parts, where a source came in fewer or very uneven ones."""
@@ -42,8 +44,8 @@ def newest_file(files: DataFrame) -> DataFrame:
 
 
 def read_dim(spark: SparkSession, path: str, schema: T.StructType | str, key: str) -> DataFrame:
-    """Dimension or configuration file with one row per key.
+    """Dimension or configuration file with one row per key, the smallest by the other columns.
 
     Spark broadcasts it in a join while it is below the session's size limit.
     """
-    return spark.read.schema(schema).option("header", True).csv(path).dropDuplicates([key])
+    return one_per_key(spark.read.schema(schema).option("header", True).csv(path), [key])

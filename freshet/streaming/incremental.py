@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from ..functions.dates import as_time
 from ..operators.aggregates import pick_by
 from ..operators.joins import join_per_key
+from ..runtime import durable
 
 
 def insert_if_new(df: DataFrame, target: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -54,12 +55,15 @@ def until_known(
 def backfill_slices(
     df: DataFrame, target: DataFrame, ts: str, key: str, order: Sequence[str], days: int, now
 ) -> DataFrame:
-    """New rows in slices of ``days`` days back from ``now``, up to the first slice without any."""
+    """New rows in slices of ``days`` days back from ``now``, up to the first slice without any.
+
+    The new rows are written once, so they are looked for once.
+    """
     age = F.timestamp_diff("SECOND", F.col(ts), as_time(now))
     fresh = insert_if_new(df, target, key, order).withColumn(
         "slice", F.floor(age / (days * 86400)).cast("bigint")
     )
-    fresh = fresh.filter(F.col("slice") >= 0)
+    fresh = durable(fresh.filter(F.col("slice") >= 0), "fresh")
     gapless = Window.orderBy("slice")
     filled = (
         fresh.select("slice").distinct()
