@@ -14,6 +14,7 @@ from ..operators.windows import (
     trailing_mean,
     with_position,
 )
+from ..operators.selection import By
 from .registry import day_text, query, table, time_text
 
 
@@ -145,7 +146,7 @@ SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) + 1
 """)
 def surrogate_ids(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return assign_ids(orders, [F.desc("o_orderdate"), "o_orderkey"], 1000).select("o_orderkey", "uid")
+    return assign_ids(orders, [By("o_orderdate", True), "o_orderkey"], 1000).select("o_orderkey", "uid")
 
 
 @query("""

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import struct
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -181,19 +182,28 @@ def wkb_point(hex_col: Column) -> Column:
     Both byte orders and the extended form with a reference-system number are
     read; other geometries and broken text give null.
     """
-    @F.pandas_udf("struct<lon: double, lat: double>")
-    def decode(texts: pd.Series) -> pd.DataFrame:
-        def one(text):
-            try:
-                raw = bytes.fromhex(text)
-                order = "<" if raw[0] == 1 else ">"
-                (kind,) = struct.unpack_from(order + "I", raw, 1)
-                if kind & 0xFF != 1:
-                    return (None, None)
-                return struct.unpack_from(order + "dd", raw, 9 if kind & 0x20000000 else 5)
-            except (TypeError, ValueError, IndexError, struct.error):
+    layout = np.dtype([("head", "V5"), ("lon", "<f8"), ("lat", "<f8")])
+
+    def one(text):
+        try:
+            raw = bytes.fromhex(text)
+            order = "<" if raw[0] == 1 else ">"
+            (kind,) = struct.unpack_from(order + "I", raw, 1)
+            if kind & 0xFF != 1:
                 return (None, None)
+            return struct.unpack_from(order + "dd", raw, 9 if kind & 0x20000000 else 5)
+        except (TypeError, ValueError, IndexError, struct.error):
+            return (None, None)
 
-        return pd.DataFrame([one(t) for t in texts], columns=["lon", "lat"], dtype="float64")
+    @F.pandas_udf("struct<lon: double, lat: double>")
+    def decode(texts: pd.Series) -> pd.DataFrame:
+        """Plain little-endian points of a batch at once, others one by one."""
+        out = pd.DataFrame({"lon": np.nan, "lat": np.nan}, index=texts.index, dtype="float64")
+        plain = texts.str.fullmatch(r"0101000000[0-9A-Fa-f]{32}").fillna(False).astype(bool)
+        found = np.frombuffer(bytes.fromhex("".join(texts[plain])), layout)
+        out.loc[plain, "lon"], out.loc[plain, "lat"] = found["lon"], found["lat"]
+        rest = texts[~plain]
+        out.loc[~plain, ["lon", "lat"]] = np.array([one(t) for t in rest], dtype="float64").reshape(-1, 2)
+        return out
 
     return decode(hex_col)

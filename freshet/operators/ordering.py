@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..runtime import durable
+from .numbering import number_rows
+from .selection import By
 
 _SLICE_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
@@ -57,11 +59,11 @@ def distributed_row_number(
 
 
 def assign_ids(
-    df: DataFrame, order_by: Sequence[Column | str], start: Column | int = 0, name: str = "uid"
+    df: DataFrame, order_by: Sequence[By | str], start: Column | int = 0, name: str = "uid"
 ) -> DataFrame:
-    """Dense ids after ``start`` in the given order."""
+    """Dense ids after ``start`` in the given order, which should end with a unique column."""
     start = start if isinstance(start, Column) else F.lit(start)
-    numbered = distributed_row_number(df, order_by, name="_number")
+    numbered = number_rows(df, order_by, name="_number")
     return numbered.withColumn(name, (F.col("_number") + start).cast("bigint")).drop("_number")
 
 
@@ -72,7 +74,7 @@ def next_ids(target: DataFrame, id_col: str) -> Column:
 
 def chunk_keys(df: DataFrame, group: str, key: str, n: int, sep: str = ",") -> DataFrame:
     """Distinct keys of a group in chunks of ``n``, each joined into one text."""
-    numbered = distributed_row_number(df.select(group, key).distinct(), [key], [group], "_number")
+    numbered = number_rows(df.select(group, key).distinct(), [key], [group], "_number")
     return (
         numbered.withColumn("chunk", F.floor((F.col("_number") - 1) / n).cast("bigint"))
         .groupBy(group, "chunk")

@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import bounds, edges, edges_cover
+from ..functions.geometry import parts_of
+from .area_index import POINTS_PER_COPY, points_in_areas
 
 
 def points_in_polygons(
@@ -19,38 +20,21 @@ def points_in_polygons(
     y: str = "lat",
     geometry: str = "geometry",
     tile: float = 1.0,
-    salts: int = 8,
+    points_per_copy: int = POINTS_PER_COPY,
 ) -> DataFrame:
-    """Each point with each polygon that holds it; boundaries count as inside.
+    """Each point with the other columns of each polygon that holds it; boundaries count as inside.
 
-    Points and the bounding boxes of polygons meet by equality on square tiles
-    of ``tile`` degrees, and the exact test runs on those pairs only.  Points of
-    a tile are spread over ``salts`` parts, and the polygons of the tile are
-    copied to each, so that a tile with a large share of all points is not one
-    task.  A point lies in one tile, so no pair is found twice.
+    A polygon may have many parts, see :func:`parts_of`.  The pairs come from the
+    tile index of :func:`points_in_areas`, in which rows are named by a hash of
+    all their columns; equal rows of ``polygons`` give pairs of their own.
     """
-    limits = {f"_{k}": v for k, v in bounds(F.col(geometry)).items()}
-    tiled = polygons.withColumns({**limits, "_edges": edges(F.col(geometry))}).drop(geometry)
-    for name, low, high in (("_tx", "_west", "_east"), ("_ty", "_south", "_north")):
-        tiled = tiled.withColumn(
-            name, F.explode(F.sequence(F.floor(F.col(low) / tile), F.floor(F.col(high) / tile)))
-        )
-    tiled = tiled.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    placed = points.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumns(
-        {
-            "_tx": F.floor(F.col(x) / tile),
-            "_ty": F.floor(F.col(y) / tile),
-            "_salt": F.pmod(F.xxhash64(*points.columns), F.lit(salts)).cast("int"),
-        }
-    )
-    inside = (
-        F.col(x).between(F.col("_west"), F.col("_east"))
-        & F.col(y).between(F.col("_south"), F.col("_north"))
-        & edges_cover(F.col("_edges"), F.col(x), F.col(y))
-    )
-    joined = placed.join(tiled, ["_tx", "_ty", "_salt"]).filter(inside)
     added = [c for c in polygons.columns if c != geometry]
-    return joined.select(*points.columns, *added)
+    area = max([*points.columns, *polygons.columns], key=len) + "_"
+    whole = F.to_json(F.struct(*polygons.columns), {"ignoreNullFields": "false"})
+    named = polygons.withColumn(area, F.sha2(whole.cast("binary"), 256))
+    shapes = named.select(area, parts_of(named, geometry).alias("parts")).dropDuplicates([area])
+    pairs = points_in_areas(points, shapes, area, x, y, tile=tile, points_per_copy=points_per_copy)
+    return pairs.join(named.select(area, *added), area).select(*points.columns, *added)
 
 
 def _simplify_line(points: np.ndarray, tolerance: float) -> np.ndarray:

@@ -14,7 +14,8 @@ from pyspark.sql.window import Window
 
 from ..functions.dates import noon_day
 from .aggregates import pick_by, with_keys
-from .ordering import distributed_row_number
+from .numbering import number_rows
+from .selection import By
 
 
 def latest_per(df: DataFrame, keys: Sequence[str], ts: str, tie: str, where: Column | None = None) -> DataFrame:
@@ -91,9 +92,9 @@ def change_by_date(
     return out.drop("_day")
 
 
-def with_position(df: DataFrame, file: str, order: Sequence[str], name: str = "position") -> DataFrame:
+def with_position(df: DataFrame, file: str, order: Sequence[By | str], name: str = "position") -> DataFrame:
     """0-based position of a row in its file, for files of any length."""
-    numbered = distributed_row_number(df, order, [file], "_number")
+    numbered = number_rows(df, order, [file], "_number")
     return numbered.withColumn(name, F.col("_number") - 1).drop("_number")
 
 

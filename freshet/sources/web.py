@@ -177,7 +177,7 @@ def html_tables(df: DataFrame, html_col: str, table_id: str | None = None, heade
     cell's text.  White space in a cell is one blank.  ``table_id`` takes the
     first table with that id.  Null pages and pages without a table give no rows.
     """
-    rows = F.udtf(TableRows, returnType="table_no int, row_no int, cells array<string>")
+    rows = F.udtf(TableRows, returnType="table_no int, row_no int, cells array<string>", useArrow=True)
     kept = [c for c in df.columns if c != html_col]
     found = df.lateralJoin(rows(F.col(html_col).outer(), F.lit(table_id).cast("string")))
     return found.filter(F.col("row_no") >= header_rows).select(*kept, "table_no", "row_no", "cells")

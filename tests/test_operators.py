@@ -234,7 +234,7 @@ def test_points_in_polygons_match_brute_force(spark, tile):
     points = [(i, float(rng.randrange(-22, 22)), float(rng.randrange(-22, 22))) for i in range(200)]
     shapes = spark.createDataFrame([(i, ("Polygon", [[list(p) for p in r]])) for i, r in rings.items()], "area int, geometry struct<type: string, coordinates: array<array<array<double>>>>")
     df = spark.createDataFrame([*points, (999, None, 1.0)], "id int, lon double, lat double")
-    got = sorted((r["id"], r["area"]) for r in spatial.points_in_polygons(df, shapes, tile=tile, salts=3).collect())
+    got = sorted((r["id"], r["area"]) for r in spatial.points_in_polygons(df, shapes, tile=tile, points_per_copy=50).collect())
     assert got == sorted((i, a) for i, x, y in points for a, ring in rings.items() if holds(ring, x, y))
 
 

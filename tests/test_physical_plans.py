@@ -42,7 +42,9 @@ def test_no_row_at_a_time_python(plans):
 
 def test_python_only_where_there_is_no_expression(plans):
     used = {n for n, p in plans.items() if re.search("ArrowEvalPython|MapInPandas|MapInArrow|FlatMapGroups", p)}
-    assert used == {"binary_points", "simplified_outlines", "zip_members"}
+    assert used == {
+        "binary_points", "simplified_outlines", "zip_members", "html_tables", "json_one_document", "geojson_one_document",
+    }
 
 
 @pytest.mark.parametrize(
