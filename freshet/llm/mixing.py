@@ -15,11 +15,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 64
 SHARD_SLOTS = 1024
 WEIGHTS = (5, 2, 1)
-ROWS_PER_BUCKET = 50_000
-#: Primes larger than any block count; none of them divides a block count.
-_MULTIPLIERS = (
-    1_000_000_000_039, 2_305_843_009_213_693_951, 1_000_000_000_061, 9_007_199_254_740_881, 1_000_000_000_063,
-)
+ROWS_PER_BUCKET = 4096
+#: Rounds of the index permutation.
+ROUNDS = 24
 
 
 def running_total(df: DataFrame, group: str, bucket: str, order: Sequence[str], value: str, name: str) -> DataFrame:
@@ -76,16 +74,20 @@ def source_targets(
 
 
 def _pick(number: Column, epoch: Column, index: Column, n: Column, seed: int) -> Column:
-    """Place of an index in the permutation of a source's n blocks for one epoch.
+    """Place of an index in the pseudorandom permutation of a source's n blocks for one epoch.
 
-    A linear congruential map: the multiplier is prime and larger than n, so it
-    has no factor in common with n.
+    A swap-or-not network: each round pairs every place x with k - x modulo n, k
+    being the round's key, and swaps the pair or not by a keyed bit of the larger
+    of the two.  Every round is a permutation for any n, so no place is walked to or left out.
     """
-    wide = lambda c: c.cast("decimal(19,0)")
-    draw = F.xxhash64(F.lit(seed), number, epoch)
-    prime = F.element_at(F.array(*[F.lit(p) for p in _MULTIPLIERS]), (F.pmod(draw, F.lit(len(_MULTIPLIERS))) + 1).cast("int"))
-    shift = F.pmod(F.xxhash64(draw), n)
-    return ((wide(F.pmod(prime, n)) * wide(index) + shift) % wide(n)).cast("bigint")
+    key = F.xxhash64(F.lit(seed), number, epoch)
+
+    def swap(x: Column, i: Column) -> Column:
+        other = F.pmod(F.pmod(F.xxhash64(key, i), n) - x, n)
+        swapped = F.xxhash64(key, i, F.greatest(x, other), F.lit("bit")).bitwiseAND(F.lit(1)) == 1
+        return F.when(swapped, other).otherwise(x)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), index.cast("bigint"), swap)
 
 
 def slots_of(sources: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 17) -> DataFrame:

@@ -519,3 +519,37 @@ def test_native_plans_have_no_python(spark, docs):
     for df in (quality_rules.apply_rules(rows), secret_scan.find_secrets(rows), mixing.mix_sources(rows)[0]):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop"))
+
+
+# ---------------------------------------------------------------- 10, the draw itself
+
+
+def test_places_are_a_pseudorandom_permutation(spark):
+    for n in (1, 2, 3, 10, 97, 1000):
+        place = mixing._pick(F.lit(3), F.col("e"), F.col("id"), F.lit(n), 17)
+        rows = spark.range(n).withColumn("e", F.explode(F.array(F.lit(0), F.lit(1)))).select("e", "id", place.alias("p")).collect()
+        found = [[r.p for r in sorted(rows) if r.e == e] for e in (0, 1)]
+        assert all(sorted(x) == list(range(n)) for x in found)
+        if n >= 97:
+            steps = Counter((b - a) % n for a, b in zip(found[0], found[0][1:]))
+            assert len(steps) > n / 3 and max(steps.values()) < 10 and found[0] != found[1]
+            assert sum(a == b for a, b in zip(*found)) < n / 10
+
+
+def test_taken_words_are_those_of_the_drawn_blocks(spark, docs):
+    rng = random.Random(6)
+    rows = [(i, text_of(rng, rng.randrange(0, 400)) if i % 9 else None, rng.choice(["a", "a", "a", "b", None])) for i in range(120)]
+    taken, slots = mixing.mix_sources(docs(*rows), block_words=16, shard_slots=32)
+    got, drawn = taken.collect(), slots.collect()
+    numbers = {s: k for k, s in enumerate(sorted({r[2] for r in rows}, key=lambda s: (s is None, s or "")))}
+    uses = {}
+    for r in drawn:
+        for at in range(r.block * 16, r.block * 16 + r.words):
+            uses[r.number, at] = uses.get((r.number, at), 0) + 1
+    want, at = {}, Counter()
+    for i, text, source in sorted(rows):
+        size = len((text or "").split())
+        want[i] = sum(uses.get((numbers[source], at[source] + k), 0) for k in range(size))
+        at[source] += size
+    assert {r.doc_id: r.taken for r in got} == want
+    assert all(r.words <= 16 for r in drawn) and max(Counter((r.shard) for r in drawn).values()) <= 32 * len(numbers)
