@@ -198,7 +198,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         return pa.array(out, kind)
 
     udf = F.arrow_udf(run, "struct<lang:string,score:double,languages:array<struct<lang:string,share:double>>>")
-    found = docs.withColumn("_found", udf(F.col("text")))
+    name = max(docs.columns, key=len) + "_"
+    found = docs.withColumn(name, udf(F.col("text")))
     return found.withColumns({
-        "lang_pred": F.col("_found.lang"), "score": F.col("_found.score"), "languages": F.col("_found.languages")
-    }).drop("_found")
+        "lang_pred": F.col(name)["lang"], "score": F.col(name)["score"], "languages": F.col(name)["languages"]
+    }).drop(name)

@@ -553,3 +553,49 @@ def test_taken_words_are_those_of_the_drawn_blocks(spark, docs):
         at[source] += size
     assert {r.doc_id: r.taken for r in got} == want
     assert all(r.words <= 16 for r in drawn) and max(Counter((r.shard) for r in drawn).values()) <= 32 * len(numbers)
+
+
+# ---------------------------------------------------------------- 5, the inference itself
+
+
+def plain_mixture(prob, counts, share, rounds):
+    """Expectation-maximisation of one text, n-gram by n-gram."""
+    for _ in range(rounds):
+        new = [0.0] * len(share)
+        for gram, times in counts.items():
+            joint = [s * p for s, p in zip(share, prob[gram], strict=True)]
+            for j, x in enumerate(joint):
+                new[j] += times * x / sum(joint)
+        share = [x / sum(counts.values()) for x in new]
+    fit = sum(times * np.log(sum(s * p for s, p in zip(share, prob[gram], strict=True))) for gram, times in counts.items())
+    return share, fit
+
+
+def test_mixture_agrees_with_plain_inference_over_all_language_sets():
+    rng = np.random.default_rng(12)
+    prob = rng.dirichlet(np.full(60, 0.4), 4).T.astype(np.float32)
+    model = language_mixture.Model(list("abcd"), prob)
+    mixes = [[1, 0, 0, 0], [0, 0, 1, 0], [0.6, 0, 0, 0.4], [0, 0.5, 0.5, 0], [0.34, 0.33, 0, 0.33], [0.25] * 4]
+    texts = [Counter(rng.choice(60, 400, p=(prob @ m) / (prob @ m).sum()).tolist()) for m in mixes for _ in range(4)]
+    bucket, times = (np.concatenate([list(getattr(t, f)()) for t in texts]) for f in ("keys", "values"))
+    sizes = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    start = np.full((4, len(texts)), 0.25, np.float32)
+    share, fit = language_mixture._fit(np.ascontiguousarray(prob[bucket].T), times, sizes, start, 12)
+    for i, t in enumerate(texts):
+        want = plain_mixture(prob, t, [0.25] * 4, 12)
+        assert np.allclose(share[:, i], want[0], atol=1e-4) and fit[i] == pytest.approx(want[1], rel=1e-4)
+    got = language_mixture.proportions(model, bucket, times, sizes)
+    agree = 0
+    for i, t in enumerate(texts):
+        cost = 0.5 * np.log(max(sum(t.values()) * language_mixture.WEIGHT, 2))
+        sets = [[j for j in range(4) if m >> j & 1] for m in range(1, 16)]
+        fits = {tuple(s): plain_mixture(prob, t, [float(j in s) / len(s) for j in range(4)], 60)[1] for s in sets}
+        best = max(sets, key=lambda s: language_mixture.WEIGHT * fits[tuple(s)] - cost * len(s))
+        agree += set(np.flatnonzero(got[i] > 0.01)) == set(best)
+    assert agree >= 0.9 * len(texts)
+
+
+def test_identified_documents_keep_their_columns(spark, docs):
+    model = language_mixture.learn(spark.createDataFrame([("the and", "en"), ("der und", "de")], "text string, lang string"))
+    row = language_mixture.identify(docs((1, "the the")).selectExpr("*", "7 AS _found", "8 AS _found_"), model).first()
+    assert (row._found, row._found_, row.lang_pred) == (7, 8, "en")
