@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import allowed_lag, as_time
 from ..functions.text import roll_text
 from .calendars import minus
+from .numbering import number_rows
 
 # Days allowed for datasets whose source is known to lag, by a
 # part of the dataset's name, and days after which a known issue is looked at again.
@@ -103,14 +104,11 @@ def rollout_years(catalog: DataFrame, data: DataFrame, dataset: str, year: str,
 def assign_by_order(
     layers: DataFrame, dates: DataFrame, order: str = "order", date: str = "date", current: str = "shown", first: int = 0
 ) -> DataFrame:
-    """The layer of order ``first`` shows the first date, and so on; layers without one keep theirs.
-
-    The dates of a forecast run are few; they are gathered into one array.
-    """
-    days = dates.select(date).distinct().agg(F.sort_array(F.collect_list(date)).alias("_d"))
-    placed = days.select(F.posexplode("_d").alias("_pos", "_date"))
+    """The layer of order ``first`` shows the first date, and so on; layers without one keep theirs."""
+    days = dates.select(F.col(date).alias("_date")).filter("_date IS NOT NULL").distinct()
+    placed = number_rows(days, ["_date"], name="_pos")
     return (
-        layers.join(placed, F.col(order) == F.col("_pos") + first, "left")
+        layers.join(placed, F.col(order) == F.col("_pos") - 1 + first, "left")
         .withColumn(current, F.coalesce("_date", current))
         .drop("_pos", "_date")
     )
