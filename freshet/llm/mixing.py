@@ -17,7 +17,7 @@ SHARD_SLOTS = 1024
 WEIGHTS = (5, 2, 1)
 ROWS_PER_BUCKET = 4096
 #: Rounds of the index permutation.
-ROUNDS = 24
+ROUNDS = 16
 
 
 def running_total(df: DataFrame, group: str, bucket: str, order: Sequence[str], value: str, name: str) -> DataFrame:
@@ -73,21 +73,22 @@ def source_targets(
     return totals.withColumn("target", target)
 
 
-def _pick(number: Column, epoch: Column, index: Column, n: Column, seed: int) -> Column:
-    """Place of an index in the pseudorandom permutation of a source's n blocks for one epoch.
+def _picked(slots: DataFrame, seed: int) -> DataFrame:
+    """Slots (number, epoch, index, blocks) with the ``block`` that they pick.
 
-    A swap-or-not network: each round pairs every place x with k - x modulo n, k
-    being the round's key, and swaps the pair or not by a keyed bit of the larger
-    of the two.  Every round is a permutation for any n, so no place is walked to or left out.
+    The indices of a source's blocks go through a pseudorandom permutation for
+    each epoch, a swap-or-not network: each round pairs every place x with k - x modulo the
+    number of blocks, k being the round's key, and swaps the pair or not by a
+    keyed bit of the larger of the two.  Every round is a permutation for any
+    number of blocks, so no place is walked to or left out.
     """
-    key = F.xxhash64(F.lit(seed), number, epoch)
-
-    def swap(x: Column, i: Column) -> Column:
-        other = F.pmod(F.pmod(F.xxhash64(key, i), n) - x, n)
-        swapped = F.xxhash64(key, i, F.greatest(x, other), F.lit("bit")).bitwiseAND(F.lit(1)) == 1
-        return F.when(swapped, other).otherwise(x)
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), index.cast("bigint"), swap)
+    slots = slots.withColumn("_key", F.xxhash64(F.lit(seed), "number", "epoch")).withColumn("block", F.col("index").cast("bigint"))
+    for i in range(ROUNDS):
+        other = F.pmod(F.pmod(F.xxhash64("_key", F.lit(i)), F.col("blocks")) - F.col("block"), F.col("blocks"))
+        slots = slots.withColumn("_other", other)
+        swapped = F.xxhash64("_key", F.lit(i), F.greatest("block", "_other"), F.lit("bit")).bitwiseAND(F.lit(1)) == 1
+        slots = slots.withColumn("block", F.when(swapped, F.col("_other")).otherwise(F.col("block")))
+    return slots.drop("_key", "_other")
 
 
 def slots_of(sources: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 17) -> DataFrame:
@@ -143,13 +144,13 @@ def slots_of(sources: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: in
     ).filter("first < end").unionByName(closing)
     placed = runs.withColumn("slot", F.explode(F.sequence(F.col("first"), F.col("end") - 1))).select("shard", "number", "slot")
     placed = placed.join(plan.select("number", "blocks", "slots", "part"), "number")
-    epoch = F.floor(F.col("slot") / F.col("blocks"))
     partial = (F.col("part") > 0) & (F.col("slot") == F.col("slots") - 1)
-    return placed.select(
-        "shard", "number",
-        _pick(F.col("number"), epoch, F.col("slot") % F.col("blocks"), F.col("blocks"), seed).alias("block"),
-        F.when(partial, F.col("part")).otherwise(F.lit(block_words)).alias("words"),
+    placed = placed.select(
+        "shard", "number", F.floor(F.col("slot") / F.col("blocks")).alias("epoch"), (F.col("slot") % F.col("blocks")).alias("index"),
+        "blocks", F.when(partial, F.col("part")).otherwise(F.lit(block_words)).alias("words"),
     )
+    # written, so that no filter of a later join is carried through the rounds
+    return durable(_picked(placed, seed).select("shard", "number", "block", "words"), "mix")
 
 
 def mix_sources(

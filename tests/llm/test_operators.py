@@ -526,8 +526,8 @@ def test_native_plans_have_no_python(spark, docs):
 
 def test_places_are_a_pseudorandom_permutation(spark):
     for n in (1, 2, 3, 10, 97, 1000):
-        place = mixing._pick(F.lit(3), F.col("e"), F.col("id"), F.lit(n), 17)
-        rows = spark.range(n).withColumn("e", F.explode(F.array(F.lit(0), F.lit(1)))).select("e", "id", place.alias("p")).collect()
+        slots = spark.range(n).withColumn("epoch", F.explode(F.array(F.lit(0), F.lit(1)))).selectExpr("epoch", "id AS index", "3 AS number", f"{n} AS blocks")
+        rows = mixing._picked(slots, 17).selectExpr("epoch AS e", "index AS id", "block AS p").collect()
         found = [[r.p for r in sorted(rows) if r.e == e] for e in (0, 1)]
         assert all(sorted(x) == list(range(n)) for x in found)
         if n >= 97:
