@@ -141,6 +141,19 @@ def test_windows_score_every_place_once_and_see_no_later_place():
     assert np.allclose(one[:20], two[:20]) and not np.allclose(one[20:], two[20:])
 
 
+def test_large_weights_give_finite_scores_and_gradients():
+    rng = np.random.default_rng(5)
+    size, ids = 60, rng.integers(0, 60, 200)
+    layout, places = lm_score.lay_out(np.bincount(ids, minlength=size).astype(float), rng.integers(0, 9, size * lm_score.FEATURES).astype(float), 4)
+    w = lm_score.start(layout, places)
+    for k in ("embed", "qkv", "up", "down"):
+        w[k] *= 40
+    begin = np.array([0, 1, 90, 200])
+    x, y, real, _ = lm_score.windows(layout.place[ids], begin, layout.place[size])
+    assert np.isfinite(lm_score.score_rows(layout, w, ids, begin, size)).all()
+    assert all(np.isfinite(g).all() for g in lm_score.gradients(w, layout, x, y, real).values())
+
+
 def test_gradients_agree_with_differences():
     layout, w, size = tiny_model(2)
     ids = np.arange(70) * 7 % size
