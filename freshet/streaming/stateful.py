@@ -20,8 +20,7 @@ from pyspark.sql.window import Window
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _DAY_MS = 86_400_000
-_DAYS = "day long"
-_PART = "n long, total long, high long"
+_STATE = "version long, timer long, day array<bigint>, n array<bigint>, total array<bigint>, high array<bigint>"
 
 
 class LookBack(StatefulProcessor):
@@ -32,50 +31,42 @@ class LookBack(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.parts = handle.getMapState("parts", _DAYS, _PART)
-        self.version = handle.getValueState("version", "version long")
-
-    def _summary(self, key, days: dict[int, tuple]) -> Iterator[pd.DataFrame]:
-        number = (self.version.get()[0] if self.version.exists() else 0) + 1
-        self.version.update((number,))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if days:
-            self.handle.registerTimer((min(days) + self.days) * _DAY_MS)
-        row = dict(zip(self.keys, key, strict=True))
-        row |= {
-            "version": number, "n": sum(p[0] for p in days.values()), "total": sum(p[1] for p in days.values()),
-            "high": max((p[2] for p in days.values()), default=None), "oldest": min(days, default=None),
-        }
-        out = pd.DataFrame([row])
-        for name in ("high", "oldest"):
-            out[name] = out[name].astype("Int64")
-        yield out
-
-    def _kept(self, first: int) -> dict[int, tuple]:
-        """Days from ``first`` on; earlier ones are taken out of the state."""
-        days = {}
-        for (day,), part in list(self.parts.iterator()):
-            if day < first:
-                self.parts.removeKey((day,))
-            else:
-                days[day] = tuple(part)
-        return days
+        self.state = handle.getValueState("state", _STATE)
+
+    def _read(self, first: int) -> tuple[int, int, dict[int, tuple]]:
+        """Version, time of the timer (-1: none), and the days from ``first`` on; one call reads all of a key."""
+        held = self.state.get()
+        if held is None:
+            return 0, -1, {}
+        version, timer, *columns = held
+        return version, timer, {day: tuple(part) for day, *part in zip(*columns, strict=True) if day >= first}
+
+    def _summary(self, key, version: int, timer: int, days: dict[int, tuple]) -> Iterator[pd.DataFrame]:
+        due = (min(days) + self.days) * _DAY_MS if days else -1
+        if due != timer:
+            if timer >= 0:
+                self.handle.deleteTimer(timer)
+            if due >= 0:
+                self.handle.registerTimer(due)
+        n, total, high = ([p[i] for p in days.values()] for i in range(3))
+        self.state.update((version + 1, due, list(days), n, total, high))
+        out = {k: [v] for k, v in zip(self.keys, key, strict=True)}
+        out |= {"version": [version + 1], "n": [sum(n)], "total": [sum(total)]}
+        out |= {c: pd.array([v], "Int64") for c, v in (("high", max(high, default=None)), ("oldest", min(days, default=None)))}
+        yield pd.DataFrame(out)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         first = timerValues.getCurrentWatermarkInMs() // _DAY_MS - self.days + 1
-        days = self._kept(first)
+        version, timer, days = self._read(first)
         for frame in rows:
-            for day, n, total, high in zip(frame["day"], frame["n"], frame["total"], frame["high"], strict=True):
+            for day, n, total, high in zip(*(frame[c].tolist() for c in ("day", "n", "total", "high")), strict=True):
                 if day >= first:
                     old = days.get(day, (0, 0, high))
-                    days[int(day)] = (old[0] + int(n), old[1] + int(total), max(int(old[2]), int(high)))
-        for day, part in days.items():
-            self.parts.updateValue((day,), part)
-        yield from self._summary(key, days)
+                    days[day] = (old[0] + n, old[1] + total, max(old[2], high))
+        yield from self._summary(key, version, timer, days)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._summary(key, self._kept(timerValues.getCurrentWatermarkInMs() // _DAY_MS - self.days + 1))
+        yield from self._summary(key, *self._read(timerValues.getCurrentWatermarkInMs() // _DAY_MS - self.days + 1))
 
     def close(self) -> None:
         pass
@@ -108,7 +99,7 @@ def look_back(stream: DataFrame, keys: Sequence[str], ts: str, value: str, days:
     Each output row replaces the earlier ones of its key: the one with the
     largest ``version`` holds.  A key whose days have all ended has ``n`` 0.
     Rows without key, time or value, and those whose day has ended, do not count.
-    The state has one entry per key and day.  The session's state store must be
+    The state has one value per key, with an entry for each day.  The session's state store must be
     RocksDB, see :func:`use_timers`.
     """
     kinds = ", ".join(f"{k} {stream.schema[k].dataType.simpleString()}" for k in keys)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,3 +95,44 @@ def test_trailing_sums_by_differences(spark, feed, tmp_path, rows):
     assert sorted(rows(sums.select(F.dayofmonth("day"), "n", "total"))) == [(1, 2, 2), (2, 3, 4), (3, 4, 7), (5, 2, 8), (6, 2, 11)]
     last = max(int(p.name.split("=")[1]) for p in (tmp_path / "t" / "state").iterdir())
     assert spark.read.parquet(str(tmp_path / "t" / "state" / f"batch={last}")).count() <= 3
+
+
+def test_a_key_reads_and_writes_its_state_once():
+    calls, held = [], []
+
+    class State:
+        def get(self):
+            calls.append("get")
+            return held[-1] if held else None
+
+        def update(self, value):
+            calls.append("update")
+            held.append(value)
+
+    class Handle:
+        def registerTimer(self, at):
+            calls.append(("register", at))
+
+        def deleteTimer(self, at):
+            calls.append(("delete", at))
+
+    class Times:
+        def __init__(self, day):
+            self.day = day
+
+        def getCurrentWatermarkInMs(self):
+            return self.day * 86_400_000
+
+    look = stateful.LookBack(["k"], 7)
+    look.handle, look.state = Handle(), State()
+    frame = pd.DataFrame({"day": range(10, 16), "n": 1, "total": 5, "high": 5})
+    (out,) = look.handleInputRows((1,), iter([frame]), Times(10))
+    assert calls == ["get", ("register", 17 * 86_400_000), "update"] and out.to_dict("records") == [
+        {"k": 1, "version": 1, "n": 6, "total": 30, "high": 5, "oldest": 10}
+    ]
+    calls.clear()
+    (out,) = look.handleExpiredTimer((1,), Times(17), None)
+    assert calls == ["get", ("delete", 17 * 86_400_000), ("register", 18 * 86_400_000), "update"]
+    assert out.to_dict("records") == [{"k": 1, "version": 2, "n": 5, "total": 25, "high": 5, "oldest": 11}]
+    (out,) = look.handleExpiredTimer((1,), Times(40), None)
+    assert out["n"].tolist() == [0] and out["high"].isna().all() and held[-1][1] == -1
