@@ -1,5 +1,9 @@
 """Areas of many parts, and large documents read by many tasks."""
 
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..functions.geometry import ANY, area_parts, parts_geojson, parts_perimeter
@@ -57,15 +61,36 @@ def multi_perimeters(spark, sf_dir):
     return areas.select("area", parts_perimeter(F.col("parts")).alias("perimeter"), F.size("parts").alias("parts"), F.size(F.flatten("parts")).alias("rings"))
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of each batch as one compressed text, with the first and last place."""
+    for batch in batches:
+        if batch.num_rows:
+            at, text = batch.column("at"), " ".join(v or "" for v in batch.column("value").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [at.slice(0, 1), at.slice(batch.num_rows - 1, 1), pa.array([zlib.compress(text.encode(), 1)], pa.binary())],
+                ["first", "last", "packed"],
+            )
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for packed in batch.column("packed"):
+            yield pa.RecordBatch.from_arrays([pa.array([zlib.decompress(packed.as_py()).decode()], pa.string())], ["value"])
+
+
 def _one_document(spark, records, order, head, tail, label):
     """Records as one file with one document on one line; the first element, null, is no record.
 
-    One file has one writer, so this preparation runs in one task.
+    One file has one writer, so the last step runs in one task.  Records are
+    sorted and packed by many tasks before; the writer sorts packed blocks only.
     """
     lines = records.select(F.col(order).cast("bigint").alias("at"), F.concat(F.lit(","), "text").alias("value"))
     ends = spark.createDataFrame([(-1, head + "[null"), (2**62, "]" + tail)], "at bigint, value string")
     path = shared_dir(spark, label)
-    whole = lines.unionByName(ends).coalesce(1).sortWithinPartitions("at").select("value")
+    blocks = lines.unionByName(ends).repartitionByRange("at").sortWithinPartitions("at").mapInArrow(
+        _packed, "first bigint, last bigint, packed binary"
+    )
+    whole = blocks.repartition(1).sortWithinPartitions("first", "last").mapInArrow(_unpacked, "value string")
     whole.write.option("lineSep", " ").text(path)
     return path
 

@@ -1,8 +1,8 @@
 """Records of large JSON documents, one document read by many tasks.
 
 A document is read in pieces that end at a closing brace, which Spark's text
-reader finds from any split of the file.  What a piece does to the reader's
-state (inside a text or not, how deep) is a small function of the state before
+reader finds from any split of the file, in blocks of so many pieces; such a
+block is called a split below.  What a piece does to the reader's state (inside a text or not, how deep) is a small function of the state before
 it: quotes flip the one, brackets outside of texts move the other.  Pieces of a
 split are added up for both possible starts, the few sums per split are composed
 along the file, and so each piece learns where it stands without anything being
@@ -22,6 +22,7 @@ from pyspark.sql.window import Window
 from ..functions.geometry import ANY
 
 _SPLIT = ["file", "split"]
+_BLOCK = 1 << 15  # pieces that are sorted and added up together, however large the file and its splits
 _TEXT = re.compile(r'"(?:[^"\\]|\\.)*"', re.S)
 _OPEN_KEY = re.compile(r'"((?:[^"\\]|\\.)*)"\s*:\s*$', re.S)
 
@@ -29,9 +30,11 @@ _OPEN_KEY = re.compile(r'"((?:[^"\\]|\\.)*)"\s*:\s*$', re.S)
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
     """Text before each closing brace, with its place in its split, and what it does from either start."""
     read = spark.read.option("lineSep", "}").text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("seq"), "value",
     )
+    block = F.struct("start", F.expr(f"seq div {_BLOCK}").alias("block"))
+    read = read.withColumn("split", block).drop("start")
     plain = F.regexp_replace("value", r"(?s)\\.", "")
     read = read.withColumn("plain", plain).withColumn("quotes", F.length("plain") - F.length(F.replace("plain", F.lit('"'), F.lit(""))))
     inside = F.regexp_replace("plain", r'(?s)^[^"]*("|$)', "")
@@ -44,7 +47,7 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
         opened = F.length(F.regexp_replace(text, r"[^\[{]", "")) - F.length(F.regexp_replace(text, r"[^\]}]", ""))
         return opened - ends_outside.cast("int")
 
-    return read.withColumns({"change0": change(0), "change1": change(1)}).drop("plain")
+    return read.withColumns({"change0": change(0), "change1": change(1)}).drop("plain", "bare0", "bare1")
 
 
 def _before(values: Column, order: str = "seq") -> Column:
@@ -73,11 +76,10 @@ def _with_state(pieces: DataFrame) -> DataFrame:
     step = F.when(F.col("starts") == 0, F.col("step0")).otherwise(F.col("step1"))
     joined = joined.withColumn("step", step).withColumn("inside", (F.col("odd") + F.col("starts")) % 2 == 1)
     joined = joined.withColumn("depth", F.col("sunk") + _before(F.col("step")))
-    bare = F.when(F.col("inside"), F.col("bare1")).otherwise(F.col("bare0"))
     ends_outside = (F.col("quotes") + F.col("inside").cast("int")) % 2 == 0
     return joined.select(
         *_SPLIT, "seq", "value", "inside", "depth", (F.col("depth") + F.col("step")).alias("depth_after"),
-        bare.alias("bare"), ends_outside.alias("ends_outside"),
+        ends_outside.alias("ends_outside"),
     )
 
 
@@ -114,7 +116,7 @@ def json_records(spark: SparkSession, path: str, records_path: str = "") -> Data
     levels = len(names) + 1
     expected = [("{" if names else "[")] + [n + ("[" if i == len(names) - 1 else "{") for i, n in enumerate(names)]
     pieces = _with_state(_pieces(spark, path))
-    simple = (F.col("depth") == levels) & ~F.col("inside") & F.col("bare").rlike(r"^[\s,]*\{")
+    simple = (F.col("depth") == levels) & ~F.col("inside") & F.col("value").rlike(r"^[\s,]*\{")
     upper = (F.col("depth") <= levels) & ~simple
 
     @F.pandas_udf(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("opened", T.ArrayType(T.StringType()))]))

@@ -2,10 +2,14 @@
 
 import json
 import random
+import re
+from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from freshet.catalogue import shapes
 from freshet.functions.geometry import area_parts
 from freshet.sources import json_blocks
 
@@ -94,3 +98,28 @@ def test_features_of_one_collection(spark, tmp_path, small_splits):
     got = json_blocks.read_geojson_document(spark, str(tmp_path), "name string").withColumn("n", F.size(area_parts(F.col("geometry"))))
     rows = sorted((r.position, r.file, r.name, r.n) for r in got.collect())
     assert rows == [(i, "g.json", f"}}{i}", i % 3 + 1 if i % 4 else None) for i in range(200)]
+
+
+def test_blocks_of_one_split_are_bounded(spark, tmp_path, monkeypatch):
+    records = [{"i": i, "note": '}{"' * (i % 3)} for i in range(40)]
+    (tmp_path / "one.json").write_text(json.dumps({"page": {"data": [1]}, "data": records}))
+    monkeypatch.setattr(json_blocks, "_BLOCK", 4)
+    pieces = json_blocks._pieces(spark, str(tmp_path))
+    assert not {"plain", "bare0", "bare1"} & set(pieces.columns)
+    assert max(r["count"] for r in pieces.groupBy("file", "split").count().collect()) <= 4
+    got = json_blocks.json_records(spark, str(tmp_path), "data").orderBy("position").collect()
+    assert [json.loads(r.text) for r in got] == records and [r.position for r in got] == list(range(40))
+
+
+def test_one_document_is_packed_by_many_tasks_in_order(spark):
+    lines = spark.createDataFrame([(i // 2, f"{{{i}}}") for i in range(3000, -1, -1)], "k bigint, text string").repartition(7)
+    path = shapes._one_document(spark, lines, "k", "<", ">", "packed_test")
+    parts = [f for f in Path(path.removeprefix("file:")).iterdir() if f.name.startswith("part-")]
+    text = parts[0].read_text()
+    found = [int(x) for x in re.findall(r"\{(\d+)\}", text)]
+    assert len(parts) == 1 and text.startswith("<[null") and text.rstrip().endswith("]>")
+    assert sorted(found) == list(range(3001)) and [i // 2 for i in found] == sorted(i // 2 for i in found)
+    batch = pa.record_batch({"at": pa.array([1, 2, 9]), "value": pa.array(["a", None, "c"])})
+    packed = list(shapes._packed(iter([batch])))
+    assert [(b["first"].to_pylist(), b["last"].to_pylist()) for b in packed] == [([1], [9])]
+    assert [b["value"].to_pylist() for b in shapes._unpacked(iter(packed))] == [["a  c"]]
