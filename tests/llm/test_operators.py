@@ -39,6 +39,15 @@ def test_word_arrays_agree_with_the_pattern():
     assert [found[first[i] : first[i + 1]] for i in range(len(texts))] == [plain.WORD.findall(t or "") for t in texts]
 
 
+def test_values_in_order_of_rows():
+    rng = np.random.default_rng(4)
+    for values in (rng.integers(0, 2**63, 900).astype(np.uint64), rng.integers(0, 5, 900).astype(np.uint64)):
+        row = np.sort(rng.integers(0, 40, 900))
+        order = np.lexsort((values, row))
+        one, two = textarrays.by_row(row, values, 40)
+        assert (one == row[order]).all() and (two == values[order]).all()
+
+
 def test_equal_spans_have_equal_hashes():
     data, offsets = textarrays.text_bytes(pa.array(["ab cd ab", "ab"]))
     starts, ends, _ = textarrays.words(data, offsets)
@@ -92,6 +101,41 @@ def test_near_duplicates_on_families(spark, docs):
     assert got == want
 
 
+@pytest.mark.parametrize("block", [1024, 30])
+def test_links_of_a_large_family_grow_with_its_sets(spark, docs, monkeypatch, block):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", block)
+    rng, made = random.Random(31), []
+    base = text_of(rng, 60).split()
+    texts = [" ".join(base)]
+    for _ in range(150):
+        w = list(base)
+        for _ in range(rng.randrange(1, 4)):
+            w[rng.randrange(len(w))] = f"e{rng.randrange(99)}"
+        texts.append(" ".join(w))
+    rest, kept = jaccard_join._rest, jaccard_join.durable
+
+    def note(*args):
+        made.append(kept(rest(*args), "noted"))
+        return made[-1]
+
+    monkeypatch.setattr(jaccard_join, "_rest", note)
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(docs(*enumerate(texts)).repartition(50)).collect()}
+    want = plain.components([plain.word_set(t) for t in texts], plain.near)
+    assert [got[i] for i in range(len(texts))] == want and made[0].count() < 2 * len(texts)
+
+
+def test_sets_of_a_block_are_tied_as_by_all_links():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 60).astype(np.uint64)
+    sets = [np.unique(np.where(rng.random(60) < 0.12, rng.integers(0, 2**63, 60).astype(np.uint64), base)) for _ in range(150)]
+    sizes, cls = np.array([len(x) for x in sets]), np.arange(150)
+    found = jaccard_join._block_links(cls, cls, np.zeros(150, np.int64), sizes, np.concatenate(sets))
+    own = [set(x.tolist()) for x in sets]
+    near = lambda a, b: 100 * len(a & b) >= 75 * len(a | b)
+    assert all(near(own[a], own[b]) for a, b in found)
+    assert len(found) == len(sets) - len(set(plain.components(own, near)))
+
+
 def test_near_duplicates_of_nothing(docs):
     assert jaccard_join.near_duplicates(docs()).count() == 0
 
