@@ -22,7 +22,7 @@ NUMERATOR, DENOMINATOR = 3, 4
 LARGEST_SMALL = 12  # sets above this size are never enumerated
 LIST_COST = 4.0  # what a posting costs in list scans, in postings
 ORDERED = 1 << 19  # entries of the table of frequent shingles
-BINS = 256  # bins of a set's histogram, which bounds the overlap of two sets
+BINS = 1024  # bins of a set's histogram, which bounds the overlap of two sets
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 1 << 20
 NO_ID = 2**63 - 1
 
@@ -309,10 +309,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def _bins(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """How many elements of each set fall into each bin, up to 255; the rest is told by the size."""
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    at = row * BINS + (values >> np.uint64(40)).astype(np.int64) % BINS
-    table = np.bincount(at, minlength=(len(offsets) - 1) * BINS)
-    return np.minimum(table, 255).astype(np.uint8).reshape(-1, BINS)
+    table = np.empty((len(offsets) - 1, BINS), np.uint8)
+    for i in range(0, len(table), 1024):
+        x = offsets[i : i + 1025]
+        row = np.repeat(np.arange(len(x) - 1), np.diff(x))
+        at = row * BINS + (values[x[0] : x[-1]] >> np.uint64(40)).astype(np.int64) % BINS
+        table[i : i + 1024] = np.minimum(np.bincount(at, minlength=(len(x) - 1) * BINS), 255).reshape(-1, BINS)
+    return table
 
 
 def _histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,8 +346,8 @@ def _block_members(family, cls, root, side, n, bins) -> list[tuple[int, int]]:
         fits &= ~(some[x] & some[y])
         u, v = np.nonzero(fits)
         u, v = left[i + u], right[v]
-        for j in range(0, len(u), 20_000):
-            a, b = u[j : j + 20_000], v[j : j + 20_000]
+        for j in range(0, len(u), 5_000):
+            a, b = u[j : j + 5_000], v[j : j + 5_000]
             good = _fitting(n, bins, over, a, b)
             some[a[good]] = some[b[good]] = True
     return [(family[0], c) for c in cls[some]]
