@@ -541,6 +541,64 @@ def test_bands_find_alike_lines():
     assert found >= 297
 
 
+def test_false_pairs_do_not_leave_their_band(docs, monkeypatch):
+    rng, kept, durable = random.Random(31), {}, line_dedup.durable
+    parts = ["th", "er", "in", "on", "and", "ed", "ou", "at", "st", "he", "ing", "tion", "or ", "re", "ly "]
+    lines = ["".join(rng.choice(parts) for _ in range(rng.randrange(60, 160))) for _ in range(1500)]
+    monkeypatch.setattr(line_dedup, "durable", lambda df, label: kept.setdefault(label, durable(df, label)))
+    found = line_dedup.dedup_lines(docs(*enumerate(lines))).collect()
+    assert sum(r.n_removed for r in found) == 0 and kept["pairs"].count() < 50
+
+
+def test_alike_sketches_agree_with_brute_force():
+    """Small bands, large ones compared in blocks, hot ones, and one of a single row."""
+    rng = np.random.default_rng(5)
+    sizes = [1, 2, 3, 16, 17, 40, 300, 30]
+    key = np.repeat(np.arange(len(sizes), dtype=np.uint32) * 7, sizes)
+    sign = rng.integers(0, 1 << 32, (len(key), line_dedup.BANDS * line_dedup.ROWS))
+    for i in [2, 5, *range(10, 15), 30, 60, 110, 111, 200, 350, *range(381, 409)]:
+        sign[i] = np.where(rng.random(sign.shape[1]) < 0.9, sign[i - 1], sign[i])
+    low, high = line_dedup._sketches(sign)
+    rows = {"low": low[:, 0], "high": high[:, 0], "filled": np.full(len(key), 48, np.uint8)}
+    most = line_dedup._most_unequal(0.75)
+    values = sign[:, 3:45] & 7
+    unequal = (values[:, None] != values[None]).sum(2)
+    want = {(i, j) for i, j in zip(*np.nonzero(unequal <= most[48]), strict=True) if i < j and key[i] == key[j]}
+    a, b, hot = line_dedup._band_pairs(key, rows, most)
+    assert hot == [(379, 409)] and len(a) == len(set(zip(a, b, strict=True)))
+    got = set(zip(a.tolist(), b.tolist(), strict=True))
+    assert got == {(i, j) for i, j in want if i < 379 or j - i <= line_dedup.NEIGHBOURS} and len(got) > 100
+
+
+def test_texts_reach_the_similarity_as_their_sets_do():
+    rng, left, right = random.Random(32), [], []
+    for _ in range(3000):
+        letters = rng.choice(["abcdefg ", "abéß€ ", "ab漢字かなカナ😀"])
+        x = "".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 3, 4, 5, 6, 20, 60, 200])))
+        y = list(x)
+        for _ in range(min(len(y), rng.choice([0, 1, 2, 5]))):
+            y[rng.randrange(len(y))] = rng.choice(letters)
+        left.append(x)
+        right.append("".join(y) + rng.choice(["", "a", "ab"]))
+    many = [chr(0x4E00 + i) for i in range(9000)]
+    for x, y in ((left, right), (["".join(many[i : i + 30]) for i in range(8900)], ["x" + "".join(many[i : i + 29]) for i in range(8900)])):
+        sets = [[{t[i : i + 5] for i in range(max(1, len(t) - 4))} for t in side] for side in (x, y)]
+        for least in (0.5, 0.75, 0.9):
+            want = [len(a & b) >= least * len(a | b) for a, b in zip(*sets, strict=True)]
+            assert line_dedup._reach(pa.array(x), pa.array(y), least).tolist() == want
+    assert line_dedup._reach(pa.array([], pa.string()), pa.array([], pa.string()), 0.75).tolist() == []
+
+
+def test_marks_let_every_key_through(spark):
+    rng = random.Random(33)
+    keys = [rng.randrange(-(2**63), 2**63) for _ in range(500)] + [0, -1, 2**63 - 1, -(2**63)]
+    table = line_dedup.marks(spark.createDataFrame([(k,) for k in keys], "line bigint"), "line")
+    others = np.array([rng.randrange(-(2**63), 2**63) for _ in range(5000)]).view(np.uint64)
+    assert line_dedup.marked(table, np.array(keys).view(np.uint64)).all() and line_dedup.marked(table, others).mean() < 0.1
+    none = line_dedup.marks(spark.createDataFrame([], "line bigint"), "line")
+    assert not line_dedup.marked(none, others).any()
+
+
 # ---------------------------------------------------------------- 10
 
 
