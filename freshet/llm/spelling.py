@@ -86,7 +86,9 @@ def _keyed(words: DataFrame, tag: str, length: Column, left: int | Column, parts
 def near_pairs(words: DataFrame) -> DataFrame:
     """Unordered pairs (a, b) of words one inserted, deleted or replaced code point apart, with their counts.
 
-    ``words`` has distinct ``word`` and ``n``.  Each pair is given once.
+    ``words`` has distinct ``word`` and ``n``.  Each pair is given once.  A word
+    has up to twelve signatures, which Spark does not count when it sizes a side
+    of the joins, so these are told to sort and merge.
     """
     words = words.select("word", "n")
     size = F.length("word")
@@ -97,8 +99,8 @@ def near_pairs(words: DataFrame) -> DataFrame:
     columns = ["a", "n_a", "b", "n_b"]
     first, second = ([F.col("word").alias(x), F.col("n").alias(f"n_{x}"), "key"] for x in "ab")
     one_edit = F.levenshtein("a", "b", 1) == 1
-    replaced = same.select(*first).join(same.select(*second), "key").filter((F.col("a") < F.col("b")) & one_edit)
-    inserted = short.select(*first).join(long.select(*second), "key").filter(one_edit)
+    replaced = same.select(*first).join(same.select(*second).hint("merge"), "key").filter((F.col("a") < F.col("b")) & one_edit)
+    inserted = short.select(*first).join(long.select(*second).hint("merge"), "key").filter(one_edit)
     return replaced.select(*columns).unionByName(inserted.select(*columns)).dropDuplicates(["a", "b"])
 
 

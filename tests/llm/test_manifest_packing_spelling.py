@@ -290,6 +290,16 @@ def test_variants_of_dense_words(spark):
     assert spelling.group_variants(df.limit(0)).count() == 0
 
 
+def test_signatures_are_not_broadcast(spark, tmp_path):
+    """A small table of words has twelve rows a word in the joins, however small Spark thinks it is."""
+    words = [(f"{a}{b}rd{c}s", 5) for a in "abcdw" for b in "eioxy" for c in "klmn"]
+    spark.createDataFrame(words, "word string, n bigint").write.parquet(f"{tmp_path}/words")
+    pairs = spelling.near_pairs(spark.read.parquet(f"{tmp_path}/words"))
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") >= 2
+    assert pairs.count() == 20 * 5 * 4 // 2 + 25 * 4 * 3 // 2 + 20 * 5 * 4 // 2
+
+
 # ---------------------------------------------------------------- SQL
 
 
